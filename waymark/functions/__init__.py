@@ -1 +1 @@
-"""Vehicle telemetry analytics on Spark."""
+"""Scalar functions: geography as Column expressions and as plain Python."""

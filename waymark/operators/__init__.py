@@ -1 +1 @@
-"""Vehicle telemetry analytics on Spark."""
+"""Operators on telemetry: landing, enrichment, the stateful fold, episodes."""

@@ -1 +1 @@
-"""Vehicle telemetry analytics on Spark."""
+"""The warehouse: models and their graph, data tests, reports."""

@@ -1 +1 @@
-"""Vehicle telemetry analytics on Spark."""
+"""Where data comes from and goes to: configuration, reference tables, messages, files."""

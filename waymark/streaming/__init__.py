@@ -1 +1 @@
-"""Vehicle telemetry analytics on Spark."""
+"""Structured Streaming: exactly-once landing and the stateful fold."""
