@@ -53,7 +53,7 @@ class Check:
 
 def surplus(rows: DataFrame, *columns: str) -> DataFrame:
     """failing: by how many rows the groups of equal values exceed one row each."""
-    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n") - F.count(F.lit(1)), F.lit(0)).cast("long").alias("failing"))
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_size")).agg(F.coalesce(F.sum("_size") - F.count(F.lit(1)), F.lit(0)).cast("long").alias("failing"))
 
 
 def violations(check: Check, rows: DataFrame, parent: Callable[[str], DataFrame] | None = None) -> DataFrame:

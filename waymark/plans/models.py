@@ -15,7 +15,7 @@ from waymark.functions.numbers import mean, money, ratio, rounded, seconds_betwe
 from waymark.operators.landing import recent
 from waymark.plans.dag import Context, model
 
-COUNT = F.lit(1)
+COUNT = "*"
 
 
 def count_where(condition: Column) -> Column:

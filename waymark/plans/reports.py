@@ -15,7 +15,7 @@ from waymark.plans.warehouse import Warehouse
 from waymark.sources import schemas
 
 Tables = Callable[[str], DataFrame]
-N = F.lit(1)
+N = "*"
 MAGNITUDE_UNITS = {"idle": "min", "zone_visit": "min", "geofence_breach": "min", "route_deviation": "m", "delay": "min", "gps_gap": "min"}
 #: Decimals make averages exact, whatever the order of their rows.
 exact = lambda c: F.col(c).cast("decimal(16,3)")
