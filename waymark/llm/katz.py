@@ -39,7 +39,9 @@ from waymark.llm.common import fold, partitions
 
 TOP = 5
 #: Tokens of a block, after the document that passes it.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
+#: Bytes of input that one task reads: it holds its tokens, and those of one other stage, in memory.
+TASK_BYTES = 8 << 20
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -70,24 +72,24 @@ def unpacked(data: bytes) -> np.ndarray:
 def tokenised(rows: Iterable[tuple]) -> Iterator[tuple]:
     """Blocks (doc_ids, held, lengths, tokens, hashes) of rows (doc_id, held_out, text); tokens count places in hashes, which ascend."""
 
+    import xxhash
+
+    digest, end = xxhash.xxh3_64_intdigest, [word_hash(END)]
+
     def block() -> tuple:
-        hashes = np.array([word_hash(END), *map(word_hash, list(known)[1:])], np.uint64)
-        order = np.argsort(hashes)
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order), dtype=np.int32)
-        return ids, np.array(held, bool), np.array(lengths, np.int64), place[np.array(tokens, np.int32)], hashes[order]
+        hashes, tokens = np.unique(np.concatenate(found), return_inverse=True)
+        return ids, np.array(held, bool), np.array([len(f) for f in found], np.int64), tokens.astype(np.int32), hashes
 
-    known, tokens, ids, held, lengths = {END: 0}, [], [], [], []
+    ids, held, found, size = [], [], [], 0
     for doc_id, apart, text in rows:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        tokens += [known.setdefault(w, len(known)) for w in words]
-        tokens.append(0)
         ids.append(doc_id)
         held.append(apart)
-        lengths.append(len(words) + 1)
-        if len(tokens) >= BLOCK:
+        found.append(np.array([*map(digest, words), *end], np.uint64))
+        size += len(words) + 1
+        if size >= BLOCK:
             yield block()
-            known, tokens, ids, held, lengths = {END: 0}, [], [], [], []
+            ids, held, found, size = [], [], [], 0
     if ids:
         yield block()
 
@@ -153,12 +155,16 @@ def grouped_pairs(entries: list[tuple]) -> dict:
     if not sum(sizes):
         return {"places": [], "n": 0}
     a, b = np.concatenate(first), np.concatenate(second)
-    order = np.argsort(a * np.uint64(0x9E3779B97F4A7C15) + (b ^ b >> np.uint64(31)))
+    del first, second
+    mixed = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ b >> np.uint64(31))
+    order = np.argsort(mixed)
     fresh = np.ones(len(order), bool)
     fresh[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-    if fresh.sum() != len(np.unique((a * np.uint64(0x9E3779B97F4A7C15) + (b ^ b >> np.uint64(31))))):  # mixed hashes met: sort by both
+    mixed = mixed[order]
+    if (fresh[1:] & (mixed[1:] == mixed[:-1])).any():  # different pairs met in the mixed hash: sort by both
         order = np.lexsort((b, a))
         fresh[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    del mixed
     group = np.cumsum(fresh) - 1
     place = np.empty(len(order), np.int64)
     place[order] = group
@@ -175,12 +181,28 @@ def shards_of(c1: np.ndarray, n: int, parts: int) -> np.ndarray:
     return np.where(c1 * 2 * parts > n, np.minimum(parts, 1 + c1 * 2 * parts // max(1, n)), 1)
 
 
+def _in_small_parts(table: DataFrame):
+    """The table's RDD, planned with files split into parts of at most TASK_BYTES; the session's own setting is put back."""
+    from pyspark.util import _parse_memory
+
+    conf, key = table.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
+    own = conf.get(key)
+    size = int(own[:-1]) if own.lower().endswith("b") and own[:-1].isdigit() else _parse_memory(own) << 20 if not own.isdigit() else int(own)
+    conf.set(key, str(min(size, TASK_BYTES)))
+    try:
+        return table.rdd
+    finally:
+        conf.set(key, own)
+
+
 def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1) -> DataFrame:
     """SCHEMA: one row per row of ``docs``, over whole texts; learnt from rows whose crc32(id) modulo ``folds`` is not ``held``."""
     spark = docs.sparkSession
     context = spark.sparkContext
-    parts = partitions(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), fold(F.col(doc_id), folds, held).alias("held_out"), F.col(text).alias("text")).rdd
+    parts = 2 * partitions(spark)  # a pair's arrays are several times its bytes in the shuffle
+    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), fold(F.col(doc_id), folds, held).alias("held_out"), F.col(text).alias("text"))
+    learnt_docs = plain.where("NOT held_out").count()
+    rows = _in_small_parts(plain)
     p = rows.getNumPartitions()
     if not p:
         return spark.createDataFrame([], SCHEMA)
@@ -191,16 +213,16 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             to = (hashes % np.uint64(parts)).astype(np.int64)
             for bucket in np.unique(to):
                 mine = to == bucket
-                yield int(bucket), (index, seq, int(bucket), hashes[mine].tobytes(), packed(learnt[mine]), int((~apart).sum()) if bucket == to[0] else 0)
+                yield int(bucket), (index, seq, int(bucket), hashes[mine].tobytes(), packed(learnt[mine]))
 
     words = rows.mapPartitionsWithIndex(requests).partitionBy(parts, int).values()
 
     def word_stats(part: Iterable) -> Iterator[tuple]:
         entries = list(part)
         _, total, _ = summed_words(entries)
-        yield int((total > 0).sum()), int(total.sum()), counts_of(total), sum(e[5] for e in entries)
+        yield int((total > 0).sum()), int(total.sum()), counts_of(total)
 
-    v, n, of, learnt_docs = words.mapPartitions(word_stats).treeReduce(lambda x, y: tuple(a + b for a, b in zip(x, y)))
+    v, n, of = words.mapPartitions(word_stats).treeReduce(lambda x, y: tuple(a + b for a, b in zip(x, y)))
     unigrams = Words(n, of)
 
     def replies(part: Iterable) -> Iterator[tuple]:
@@ -234,12 +256,14 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                 before[starts] = 0
                 first_hash, first_count = np.concatenate(([begin], hashes)), np.concatenate(([learnt_docs], count))
                 code = before * len(hashes) + tokens
-                order = np.argsort(code, kind="stable")
+                del before
+                order = np.argsort(code, kind="stable").astype(np.int32)
                 code = code[order]
                 heads = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
                 a, b = code[heads] // len(hashes), code[heads] % len(hashes)
                 times = np.diff(np.append(heads, len(code)))
-                document = np.repeat(np.arange(len(ids)), lengths)[order]
+                document = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)[order]
+                del code, order
                 trained = np.add.reduceat((~apart)[document].astype(np.int64), heads)
                 spread = shards_of(first_count[a], n, parts)
                 bucket = ((first_hash[a] + np.where(spread > 1, hashes[b] % spread.astype(np.uint64), 0).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
