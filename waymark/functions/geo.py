@@ -9,6 +9,7 @@ micrometres and stays inside whole-stage code generation.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +22,15 @@ RAD = math.pi / 180
 GRID = {"cell_r8": 0.01, "cell_r9": 0.004}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used.
+
+    Lambdas of array functions are interpreted, not compiled, so repeats inside them
+    are paid for each time.
+    """
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def _w(lat: Column) -> Column:
     return F.lit(1.0) - F.lit(E2) * F.sin(lat * RAD) * F.sin(lat * RAD)
 
@@ -69,24 +79,31 @@ def length_m(line: Column) -> Column:
     return F.aggregate(F.transform(segments(line), lambda s: distance_m(s["x1"], s["y1"], s["x2"], s["y2"])), F.lit(0.0), lambda a, b: a + b)
 
 
-def _share(px: Column, py: Column, dx: Column, dy: Column) -> Column:
-    """Where on a segment from the origin along (dx, dy) the point (px, py) is nearest, 0 to 1; 0 on a point-like one."""
-    full = dx * dx + dy * dy
-    return F.when(full == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (px * dx + py * dy) / full)))
+def _nearest(px: Column, py: Column, dx: Column, dy: Column) -> Column:
+    """struct(t, d2): where on a segment from the origin along (dx, dy) the point (px, py) is nearest, 0 to 1, and the squared distance.  t is 0 on a point-like segment."""
 
+    def placed(v: Column) -> Column:
+        full = v["dx"] * v["dx"] + v["dy"] * v["dy"]
+        t = let(full, lambda n: F.when(n == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (v["px"] * v["dx"] + v["py"] * v["dy"]) / n))))
+        off = lambda t: F.struct(t.alias("t"), (v["px"] - t * v["dx"]).alias("gx"), (v["py"] - t * v["dy"]).alias("gy"))
+        return let(let(t, off), lambda g: F.struct(g["t"].alias("t"), (g["gx"] * g["gx"] + g["gy"] * g["gy"]).alias("d2")))
 
-def distance_to_line_m(lon: Column, lat: Column, line: Column) -> Column:
-    """Metres to the nearest place of the line, on a plane that is true at the point."""
+    return let(F.struct(px.alias("px"), py.alias("py"), dx.alias("dx"), dy.alias("dy")), placed)
+
+
+def distance_to_parts_m(lon: Column, lat: Column, parts: Column) -> Column:
+    """Metres to the nearest of some segments, on a plane that is true at the point."""
     east, north = metres_per_degree(lat)
 
-    def one(s: Column) -> Column:
-        dx, dy = (s["x2"] - s["x1"]) * east, (s["y2"] - s["y1"]) * north
-        px, py = (lon - s["x1"]) * east, (lat - s["y1"]) * north
-        t = _share(px, py, dx, dy)
-        gx, gy = px - t * dx, py - t * dy
-        return F.sqrt(gx * gx + gy * gy)
+    def all_parts(m: Column) -> Column:
+        one = lambda s: _nearest((lon - s["x1"]) * m["e"], (lat - s["y1"]) * m["n"], (s["x2"] - s["x1"]) * m["e"], (s["y2"] - s["y1"]) * m["n"])["d2"]
+        return F.sqrt(F.array_min(F.transform(parts, one)))
+
+    return let(F.struct(east.alias("e"), north.alias("n")), all_parts)
+
 
-    return F.array_min(F.transform(segments(line), one))
+def distance_to_line_m(lon: Column, lat: Column, line: Column) -> Column:
+    return distance_to_parts_m(lon, lat, segments(line))
 
 
 def located_lines(line: Column) -> Column:
@@ -100,10 +117,8 @@ def fraction_along(lon: Column, lat: Column, located: Column) -> Column:
     total = F.element_at(located, -1)["before"] + F.element_at(located, -1)["len"]
 
     def one(s: Column) -> Column:
-        dx, dy, px, py = s["x2"] - s["x1"], s["y2"] - s["y1"], lon - s["x1"], lat - s["y1"]
-        t = _share(px, py, dx, dy)
-        gx, gy = px - t * dx, py - t * dy
-        return F.struct((gx * gx + gy * gy).alias("d"), s["i"].alias("i"), (s["before"] + t * s["len"]).alias("at"))
+        near = _nearest(lon - s["x1"], lat - s["y1"], s["x2"] - s["x1"], s["y2"] - s["y1"])
+        return let(near, lambda n: F.struct(n["d2"].alias("d"), s["i"].alias("i"), (s["before"] + n["t"] * s["len"]).alias("at")))
 
     return F.array_min(F.transform(located, one))["at"] / F.when(total > 0, total)
 
@@ -113,29 +128,40 @@ def bounding_box(line: Column) -> Column:
     return F.struct(F.array_min(x).alias("min_lon"), F.array_min(y).alias("min_lat"), F.array_max(x).alias("max_lon"), F.array_max(y).alias("max_lat"))
 
 
-def point_in_ring(lon: Column, lat: Column, ring: Column) -> Column:
-    """Half-open ray casting: a point on a shared edge is in exactly one of two neighbours."""
-
+def _crossings(lon: Column, lat: Column, parts: Column) -> Column:
     def crosses(s: Column) -> Column:
         spans = (s["y1"] > lat) != (s["y2"] > lat)
         at = s["x1"] + (lat - s["y1"]) / F.when(s["y1"] != s["y2"], s["y2"] - s["y1"]) * (s["x2"] - s["x1"])
         return spans & (lon < at)
 
-    return F.size(F.filter(segments(ring), crosses)) % 2 == 1
+    return F.size(F.filter(parts, crosses))
 
 
-def on_ring(lon: Column, lat: Column, ring: Column) -> Column:
+def _touches(lon: Column, lat: Column, parts: Column) -> Column:
     def touches(s: Column) -> Column:
         cross = (s["x2"] - s["x1"]) * (lat - s["y1"]) - (s["y2"] - s["y1"]) * (lon - s["x1"])
         return (F.abs(cross) < 1e-15) & lon.between(F.least(s["x1"], s["x2"]), F.greatest(s["x1"], s["x2"])) & lat.between(F.least(s["y1"], s["y2"]), F.greatest(s["y1"], s["y2"]))
 
-    return F.exists(segments(ring), touches)
+    return F.exists(parts, touches)
+
+
+def point_in_ring(lon: Column, lat: Column, ring: Column) -> Column:
+    """Half-open ray casting: a point on a shared edge is in exactly one of two neighbours."""
+    return _crossings(lon, lat, segments(ring)) % 2 == 1
+
+
+def on_ring(lon: Column, lat: Column, ring: Column) -> Column:
+    return _touches(lon, lat, segments(ring))
+
+
+def covers_parts(parts: Column, box: Column, lon: Column, lat: Column) -> Column:
+    """:func:`covers` for a ring whose segments and box are at hand."""
+    return lon.between(box["min_lon"], box["max_lon"]) & lat.between(box["min_lat"], box["max_lat"]) & ((_crossings(lon, lat, parts) % 2 == 1) | _touches(lon, lat, parts))
 
 
 def covers(ring: Column, lon: Column, lat: Column) -> Column:
     """Inside the ring or on its boundary."""
-    box = bounding_box(ring)
-    return lon.between(box["min_lon"], box["max_lon"]) & lat.between(box["min_lat"], box["max_lat"]) & (point_in_ring(lon, lat, ring) | on_ring(lon, lat, ring))
+    return covers_parts(segments(ring), bounding_box(ring), lon, lat)
 
 
 def _authalic(lat: Column) -> Column:

@@ -19,8 +19,8 @@ CELL = 0.02
 
 
 def zone_cells(zones: DataFrame) -> DataFrame:
-    """zone_id, box, ring, cx, cy: a row for each cell that a zone's box touches."""
-    boxed = zones.select("zone_id", "boundary", geo.bounding_box(F.col("boundary")).alias("box"))
+    """zone_id, parts, box, cx, cy: a row for each cell that a zone's box touches."""
+    boxed = zones.select("zone_id", geo.segments(F.col("boundary")).alias("parts"), geo.bounding_box(F.col("boundary")).alias("box"))
     span = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / CELL), F.floor(F.col(high) / CELL)))
     return boxed.select("*", span("box.min_lon", "box.max_lon").alias("cx")).select("*", span("box.min_lat", "box.max_lat").alias("cy"))
 
@@ -29,20 +29,20 @@ def zones_per_ping(pings: DataFrame, zones: DataFrame) -> DataFrame:
     """ping_id, zone_ids: the sorted ids of the zones that cover a ping, for pings in at least one."""
     at = pings.select("ping_id", "lon", "lat", F.floor(F.col("lon") / CELL).alias("cx"), F.floor(F.col("lat") / CELL).alias("cy"))
     met = at.join(zone_cells(zones), ["cx", "cy"])
-    inside = met.where(F.col("lon").between(F.col("box.min_lon"), F.col("box.max_lon")) & F.col("lat").between(F.col("box.min_lat"), F.col("box.max_lat")) & geo.covers(F.col("boundary"), F.col("lon"), F.col("lat")))
+    inside = met.where(geo.covers_parts(F.col("parts"), F.col("box"), F.col("lon"), F.col("lat")))
     return inside.groupBy("ping_id").agg(F.sort_array(F.collect_list("zone_id")).alias("zone_ids"))
 
 
 def with_route(pings: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
     """``pings`` with route_id, planned_start_at, route_distance_m and route_fraction; null where the trip is not known."""
-    lines = routes.select("route_id", "path", geo.located_lines(F.col("path")).alias("line"))
+    lines = routes.select("route_id", geo.located_lines(F.col("path")).alias("line"))
     joined = pings.join(trips.select("trip_id", F.col("route_id").alias("trip_route"), "planned_start_at"), "trip_id", "left").join(lines.withColumnRenamed("route_id", "trip_route"), "trip_route", "left")
-    known = F.col("path").isNotNull()
+    known = F.col("line").isNotNull()
     return joined.select(
         *[pings[c] if c != "trip_id" else F.col("trip_id") for c in pings.columns],
         F.when(known, F.col("trip_route")).alias("route_id"),
         F.when(known, F.col("planned_start_at")).alias("planned_start_at"),
-        F.when(known, geo.distance_to_line_m(F.col("lon"), F.col("lat"), F.col("path"))).alias("route_distance_m"),
+        F.when(known, geo.distance_to_parts_m(F.col("lon"), F.col("lat"), F.col("line"))).alias("route_distance_m"),
         F.when(known, geo.fraction_along(F.col("lon"), F.col("lat"), F.col("line"))).alias("route_fraction"),
     )
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from waymark import oracle
 from waymark.functions import geo
-from waymark.functions.numbers import rounded
+from waymark.functions.numbers import rounded, seconds_between
 from waymark.operators import episodes, fold, landing
-from waymark.operators.enrich import enrich
+from waymark.operators.enrich import enrich, with_expected, with_route, zones_per_ping
 from waymark.plans import models, reports  # noqa: F401 - declares the models
 from waymark.plans.checks import Check, violations
 from waymark.plans.dag import in_memory
@@ -186,7 +186,8 @@ def _distances(w: World) -> DataFrame:
 
 
 def _seen(w: World) -> DataFrame:
-    return w.enriched.select("ping_id", "route_id", rounded(F.col("route_distance_m"), 3).alias("route_distance_m"), rounded(F.col("route_fraction"), 6).alias("route_fraction"), rounded(F.col("expected_elapsed_s"), 3).alias("expected_elapsed_s"), rounded(F.col("delay_seconds"), 3).alias("delay_seconds")).where("route_id IS NOT NULL")
+    routed = with_expected(with_route(w.pings, w.trips, w.routes), w.schedule).withColumn("delay_seconds", seconds_between(F.col("planned_start_at"), F.col("recorded_at")) - F.col("expected_elapsed_s"))
+    return routed.select("ping_id", "route_id", rounded(F.col("route_distance_m"), 3).alias("route_distance_m"), rounded(F.col("route_fraction"), 6).alias("route_fraction"), rounded(F.col("expected_elapsed_s"), 3).alias("expected_elapsed_s"), rounded(F.col("delay_seconds"), 3).alias("delay_seconds")).where("route_id IS NOT NULL")
 
 
 def _busiest(w: World) -> DataFrame:
@@ -225,7 +226,7 @@ FLEET: dict[str, Query] = {
     "dim_zone_measures": Query(lambda w: w.ref("dim_zone").withColumns({"centre_lat": rounded(F.col("centre_lat"), 6), "centre_lon": rounded(F.col("centre_lon"), 6)}), "zone_id name zone_kind max_dwell_minutes#d area_km2#d perimeter_km#d centre_lat#d centre_lon#d boundary_geojson breaches_on_entry#b has_dwell_limit#b", f"(SELECT * REPLACE ({oracle.r('centre_lat', 6)} AS centre_lat, {oracle.r('centre_lon', 6)} AS centre_lon) FROM dim_zone)"),
     "dim_route_measures": Query(lambda w: w.ref("dim_route"), "route_id name start_zone_id end_zone_id planned_duration_minutes#l service_minutes#l scheduled_stops#l length_km#d planned_drive_minutes#l planned_avg_kph#d path_geojson", "dim_route"),
     "route_schedule": Query(lambda w: w.schedule.withColumn("fraction", rounded(F.col("fraction"), 6)), "route_id seq#l fraction#d elapsed_seconds#l zone_id", f"(SELECT * REPLACE ({oracle.r('fraction', 6)} AS fraction) FROM schedule)"),
-    "zones_per_ping": Query(lambda w: w.enriched.where("size(zone_ids) > 0"), "ping_id zone_ids", "zone_lists"),
+    "zones_per_ping": Query(lambda w: zones_per_ping(w.pings, w.zones), "ping_id zone_ids", "zone_lists"),
     "route_progress": Query(_seen, "ping_id route_id route_distance_m#d route_fraction#d expected_elapsed_s#d delay_seconds#d", "(SELECT ping_id, route_id, " + ", ".join(f"{oracle.r(e, n)} AS {c}" for c, e, n in (("route_distance_m", "route_distance_m", 3), ("route_fraction", "route_fraction", 6), ("expected_elapsed_s", "expected_elapsed_s", 3), ("delay_seconds", "(" + oracle.secs("planned_start_at", "recorded_at") + " - expected_elapsed_s)", 3))) + " FROM timed)"),
     "grid_cells": Query(lambda w: w.pings.groupBy("cell_r8", "cell_r9").agg(F.count(F.lit(1)).alias("n")), "cell_r8 cell_r9 n#l", "(SELECT cell_r8, cell_r9, count(*) AS n FROM pings GROUP BY 1, 2)"),
     # Episodes

@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from waymark.functions import geo
 from waymark.sources import schemas
 from waymark.sources.config import FleetConfig
 
 
-def _line(positions: tuple) -> list[tuple[float, float]]:
-    return [(float(lon), float(lat)) for lon, lat in positions]
+def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table made on the driver that the planner knows the size of, and may broadcast for it."""
+    kind = T.StructType.fromDDL(schema)
+    named = [dict(zip(kind.names, r)) for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, schema=to_arrow_schema(kind)), schema=kind)
+
+
+def _line(positions: tuple) -> list[dict[str, float]]:
+    return [{"lon": float(lon), "lat": float(lat)} for lon, lat in positions]
 
 
 def zones(spark: SparkSession, config: FleetConfig) -> DataFrame:
-    return spark.createDataFrame([(z.zone_id, z.name, z.zone_kind, z.max_dwell_minutes, _line(z.boundary)) for z in config.zones], schemas.ZONES)
+    return local(spark, [(z.zone_id, z.name, z.zone_kind, z.max_dwell_minutes, _line(z.boundary)) for z in config.zones], schemas.ZONES)
 
 
 def routes(spark: SparkSession, config: FleetConfig) -> DataFrame:
-    return spark.createDataFrame([(r.route_id, r.name, r.start_zone_id, r.end_zone_id, r.planned_duration_minutes, r.service_minutes, list(r.stop_zone_ids), _line(r.path)) for r in config.routes], schemas.ROUTES)
+    return local(spark, [(r.route_id, r.name, r.start_zone_id, r.end_zone_id, r.planned_duration_minutes, r.service_minutes, list(r.stop_zone_ids), _line(r.path)) for r in config.routes], schemas.ROUTES)
 
 
 def vehicles(spark: SparkSession, config: FleetConfig) -> DataFrame:
-    return spark.createDataFrame([(v.vehicle_id, v.plate, v.vehicle_type, v.capacity_kg, v.home_depot_id) for v in config.vehicles], schemas.VEHICLES)
+    return local(spark, [(v.vehicle_id, v.plate, v.vehicle_type, v.capacity_kg, v.home_depot_id) for v in config.vehicles], schemas.VEHICLES)
 
 
 def schedule(routes: DataFrame, zones: DataFrame) -> DataFrame:
