@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
 #: A Java pattern for the same words, for use in SQL functions.
@@ -64,3 +67,42 @@ def unit_hash(*columns: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def annotated(docs: DataFrame, text: str, name: str, score: Callable[[], Callable[[list[str | None]], list[float]]]) -> DataFrame:
+    """``docs``, all columns as they are, with a double column ``name`` scored from the whole text.
+
+    Rows pass through in place: nothing is shuffled or joined.  ``score`` makes, in
+    each task, the function that scores a list of texts.  ``docs`` must not have a
+    column ``name``.
+    """
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name!r} already")
+    short_batches(docs.sparkSession)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = score()
+        for batch in batches:
+            found = pa.array(own(batch.column(at).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> bytes:
+    """The pickled model that ``fit`` makes of the rows of ``sample``, in their own order of columns.
+
+    For samples of bounded size: they meet in one task, not on the driver.  Rows are
+    put in order first, so that the model does not depend on how they were dealt.
+    """
+    import pickle
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: tuple((v is not None, v) for v in r))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])
+
+    found = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    return bytes(found.model) if found else pickle.dumps(fit([]))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fold, short_batches
+from waymark.llm.common import fitted, fold, short_batches
 
 SAMPLE, LANGUAGES = 600, 256
 DIMENSIONS = 1 << 15
@@ -132,8 +132,8 @@ def identify_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         ranked = known.where(F.col("lang").isin(values)).select("lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")).alias("k"))
         picked = ranked.where(F.col("k") <= SAMPLE).drop("k")
     chosen = known.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")  # at most LANGUAGES * SAMPLE numbers
-    rows = [(r.text, r.lang) for r in chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").toLocalIterator()]
-    sent = spark.sparkContext.broadcast(pickle.dumps(fit(rows)))
+    sample = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.text", "r.lang")
+    sent = spark.sparkContext.broadcast(fitted(sample, lambda rows: fit([r[1:] for r in rows])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(sent.value)

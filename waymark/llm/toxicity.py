@@ -23,18 +23,17 @@ labels (0 without labels).
 from __future__ import annotations
 
 import pickle
-from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections import Counter, defaultdict
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fold, short_batches
+from waymark.llm.common import annotated, fitted, fold
 
-TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
+TOXIC_SAMPLE, ORDINARY_SAMPLE = 1000, 2000
 #: Words of a window, and from one window's start to the next.
 WINDOW, STEP = 6, 4
 CONTRAST, LEAST_CONTEXTS = 12.0, 6
@@ -44,23 +43,46 @@ THRESHOLDS = (2, 3)
 EDGE = ".,!?;:|*#$%&\"'()[]"
 
 
-def _contexts(texts: Sequence[str]) -> tuple[dict[str, int], int]:
-    seen, total = defaultdict(set), 0
+def _words(text: str) -> list[str]:
+    return [w.strip(EDGE) for w in text.lower().split()]
+
+
+def _beginnings(word: str) -> list[str]:
+    return [*(" " + word[:k] for k in range(4, min(len(word), 12) + 1)), f" {word} "] if len(word) >= 3 else []
+
+
+def _contexts(texts: Sequence[str], wanted: dict[str, list[str]]) -> dict[str, int]:
+    """For each stem of ``wanted`` (stems by word): how many pairs of neighbours it stands between."""
+    seen = defaultdict(set)
     for text in texts:
         words = ["", *text.lower().split(), ""]
-        total += len(words) - 2
         for before, word, after in zip(words, words[1:], words[2:]):
-            near, word = hash((before, after)), word.strip(EDGE)
-            for k in range(3, min(len(word), 12) + 1):
-                seen[" " + word[:k]].add(near)
-            seen[f" {word} "].add(near)
-    return {k: len(v) for k, v in seen.items()}, max(1, total)
+            for stem in wanted.get(word.strip(EDGE), ()):
+                seen[stem].add(hash((before, after)))
+    return {k: len(v) for k, v in seen.items()}
 
 
 def stems(toxic: Sequence[str], ordinary: Sequence[str]) -> list[str]:
-    """Word beginnings that mark toxic texts, the rarest first, without those that another stands for."""
-    (mine, n), (other, m) = _contexts(toxic), _contexts(ordinary)
-    good = {s: c for s, c in mine.items() if c >= LEAST_CONTEXTS and len(s) > 4 and c / n > CONTRAST * (other.get(s, 0) + 1) / m}
+    """Word beginnings that mark toxic texts, the rarest first, without those that another stands for.
+
+    Plain counts narrow the choice down; only what is left is counted by neighbours.
+    """
+    mine, other = (Counter(w for text in texts for w in _words(text)) for texts in (toxic, ordinary))
+    n, m = max(1, sum(mine.values())), max(1, sum(other.values()))
+    count: Counter = Counter()
+    for word, k in mine.items():
+        for stem in _beginnings(word):
+            count[stem] += k
+    count = Counter({s: k for s, k in count.items() if k >= LEAST_CONTEXTS})
+    against: Counter = Counter()
+    for word, k in other.items():
+        for stem in _beginnings(word):
+            if stem in count:
+                against[stem] += k
+    likely = {s for s, k in count.items() if k / n > CONTRAST / 3 * against[s] / m}
+    wanted = {w: hit for w in {*mine, *other} if (hit := [s for s in _beginnings(w) if s in likely])}
+    between, beside = _contexts(toxic, wanted), _contexts(ordinary, wanted)
+    good = {s: c for s, c in between.items() if c >= LEAST_CONTEXTS and c / n > CONTRAST * (beside.get(s, 0) + 1) / m}
     fullest = {s: c for s, c in good.items() if not any(t != s and t.startswith(s) and d >= 0.9 * c for t, d in good.items())}
     short = [s for s in fullest if not any(t != s and s.startswith(t) for t in fullest)]
     return sorted(short, key=lambda s: (fullest[s], s))[-MOST_STEMS:]
@@ -106,19 +128,26 @@ def features(saved: np.ndarray) -> list[float]:
     return [float(max(saved.max(), 0)), float(np.log1p(low)), float(np.log1p(high)), float(high / len(saved)), float(np.log1p(len(saved)))]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 30) -> np.ndarray:
-    """Coefficients (the last is the constant) of a penalised logistic curve, by Newton's method."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.eye(x.shape[1]) * penalty
-    ridge[-1, -1] = 1e-9
-    beta = np.zeros(x.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 50) -> np.ndarray:
+    """Coefficients (the last is the constant) of a penalised logistic curve, by Newton's method with steps halved until they help."""
+    mean, spread = x.mean(0), x.std(0)
+    spread[spread < 1e-9] = 1.0
+    z = np.hstack([(x - mean) / spread, np.ones((len(x), 1))])
+    ridge = np.full(z.shape[1], penalty)
+    ridge[-1] = 1e-9
+    beta = np.zeros(z.shape[1])
+    loss = lambda b: np.logaddexp(0, z @ b).sum() - y @ (z @ b) + (ridge * b * b).sum() / 2
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        move = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ beta)
-        beta += np.clip(move, -5, 5)
-        if np.abs(move).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+        move = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(ridge), z.T @ (y - p) - ridge * beta)
+        share = 1.0
+        while share > 1e-6 and loss(beta + share * move) > loss(beta):
+            share /= 2
+        beta = beta + share * move
+        if np.abs(share * move).max() < 1e-8:
             break
-    return beta
+    plain = beta[:-1] / spread
+    return np.append(plain, beta[-1] - plain @ mean)
 
 
 def fit(rows: Sequence[tuple[str | None, int]]) -> dict:
@@ -145,8 +174,8 @@ def score(model: dict, text: str | None) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: str, text: str, bound: dict[int, int]) -> list[tuple[str | None, int]]:
-    """At most bound[y] rows of each label y, those of the smallest hashes, outside the held-out fold."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: str, text: str, bound: dict[int, int]) -> DataFrame:
+    """order, doc_id, text, y: at most bound[y] documents of each label y, those of the smallest hashes, outside the held-out fold."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     known = known.where(~fold("doc_id", 4, 2)).join(docs.select(F.col(doc_id).cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     picked = None
@@ -154,20 +183,23 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: str, tex
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = some if picked is None else picked.union(some)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id")  # at most sum(bound) rows of two numbers
-    return [(r.text, r.y) for r in texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator()]
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).select(F.xxhash64("doc_id").alias("order"), "doc_id", "text", "y")
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", cut: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row per row of ``docs``, over whole texts."""
-    short_batches(docs.sparkSession)
+def with_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", name: str = "score") -> DataFrame:
+    """``docs``, row by row, with the score in a column ``name``; whole texts are scored."""
     rows = labelled(docs, labels, label, doc_id=doc_id, text=text, bound={1: TOXIC_SAMPLE, 0: ORDINARY_SAMPLE})
-    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(fit(rows)))
+    sent = docs.sparkSession.sparkContext.broadcast(fitted(rows, lambda found: fit([r[2:] for r in found])))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scorer():
         model = pickle.loads(sent.value)
-        for batch in batches:
-            scores = [score(model, t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(scores, pa.float64())], ["doc_id", "score"])
+        return lambda texts: [score(model, t) for t in texts]
+
+    return annotated(docs, text, name, scorer)
+
 
-    scored = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double")
+def score_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", cut: float = 0.3) -> DataFrame:
+    """doc_id, held_out, score, predicted: one row per row of ``docs``, over whole texts."""
+    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    scored = with_scores(plain, labels, label=label)
     return scored.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
