@@ -13,32 +13,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm import mixing, quality, sentencepieces, simhash, toxicity
-from waymark.llm.common import materialise, read, shared_dir
+from waymark.llm.common import read, shared_dir
 from waymark.llm.queries import sentencepiece_model
 
 
-def _kept(docs: DataFrame, scored: DataFrame, predicted: int) -> DataFrame:
-    """The rows of ``docs`` whose own text was given ``predicted``; rows without an id stay, for no decision names them.
-
-    Rows that repeat an id stay if one of them does.
-    """
-    ids = materialise(scored.where((F.col("predicted") == predicted) & F.col("doc_id").isNotNull()).select("doc_id").distinct())
-    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+#: The column that a stage scores in; documents have none of this name.
+SCORE = "_stage_score"
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return _kept(docs, quality.score_documents(docs, read(spark, sf_dir, "labels", "doc_id", "quality")), 1)
+    """Documents that the quality classifier rejects go: those that score below 0.7."""
+    scored = quality.with_scores(docs, read(spark, sf_dir, "labels", "doc_id", "quality"), name=SCORE)
+    return scored.where(F.col(SCORE) >= 0.7).drop(SCORE)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
-    return _kept(docs, toxicity.score_documents(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")), 0)
+    """Documents that the toxicity classifier rejects go: those that score 0.3 or more."""
+    scored = toxicity.with_scores(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"), name=SCORE)
+    return scored.where(F.col(SCORE) < 0.3).drop(SCORE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash over five-word shingles one stays, that of the smallest id."""
-    return simhash.deduplicated(docs, shingle=5)
+    """Of documents linked by SimHash over five-word shingles one stays, that of the smallest id.
+
+    One fingerprint at four bits misses many copies that share 0.8 to 0.95 of their
+    shingles; six independent fingerprints, any of which may link, find most.
+    """
+    return simhash.deduplicated(docs, shingle=5, tables=6)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fold, materialise, short_batches
+from waymark.llm.common import annotated, fold, materialise, short_batches
 
 FEATURES, BANDWIDTH, RIDGE, SEED = 256, 3.0, 1.0, 11
 #: Bins of ridge scores from -0.5 to 1.5 for the calibration.
@@ -148,12 +148,32 @@ def apply(model: dict, stats: np.ndarray) -> np.ndarray:
     return model["curve"][_bins(_lift(stats, model["mean"], model["spread"]) @ model["beta"])]
 
 
+def _trained(rows: DataFrame, labels: DataFrame, label: str) -> dict:
+    """The model from described rows (doc_id, stats) and labels outside the held-out fold."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    return fit(materialise(rows.join(known.where(~fold("doc_id", 4, 2)), "doc_id").select("stats", "y")))
+
+
+def with_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", name: str = "score") -> DataFrame:
+    """``docs``, row by row, with the score in a column ``name``.
+
+    Texts are described twice, once to learn and once to score, so that they need
+    not be shuffled to meet their scores.
+    """
+    model = _trained(materialise(described(docs, doc_id=doc_id, text=text)), labels, label)
+    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+
+    def scorer():
+        own = pickle.loads(sent.value)
+        return lambda texts: apply(own, np.array([statistics(t) for t in texts]).reshape(-1, len(STATISTICS))).tolist()
+
+    return annotated(docs, text, name, scorer)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", cut: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of ``docs``, over whole texts."""
     rows = materialise(described(docs, doc_id=doc_id, text=text))
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    model = fit(materialise(rows.join(known.where(~fold("doc_id", 4, 2)), "doc_id").select("stats", "y")))
-    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(_trained(rows, labels, label)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(sent.value)
