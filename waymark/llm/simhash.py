@@ -35,16 +35,38 @@ from waymark.llm.common import materialise, short_batches
 
 #: Variants that one task expands at a time.
 TASK_VARIANTS = 1 << 22
+#: Bits of a bucket's number at least, so that a fingerprint goes to as many buckets for small inputs as for larger ones.
+LEAST_BITS = 8
 SEED = 42
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """The SimHash of one text; 0 for a text without words or null."""
+def _votes(hashes: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes: a bit is set if it is in over half of them."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        block = hashes[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
+        votes += np.unpackbits(block, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits((2 * votes > len(hashes)).astype(np.uint8), bitorder="little").view("<u8")[0])
+
+
+def _other(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Another hash of what was hashed: a finaliser over the first, with the table's own increment."""
+    x = hashes + np.uint64(table * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def fingerprint_tables(text: str | None, shingle: int = 4, tables: int = 1) -> list[int]:
+    """The SimHash of one text in each table; 0 in all for a text without words or null.
+
+    The first table's is the plain one; the others hash every shingle differently.
+    """
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return [0] * tables
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -52,23 +74,23 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     first, last = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
     digest, seed = xxhash.xxh64_intdigest, SEED
     hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(first, last)), np.uint64, len(first))
-    votes = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        block = hashes[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(block, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits((2 * votes > len(hashes)).astype(np.uint8), bitorder="little").view("<u8")[0])
+    return [_votes(hashes if not t else _other(hashes, t)) for t in range(tables)]
 
 
-def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """doc_id, fp (as a signed long): one row per row of ``docs``, over whole texts."""
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    return fingerprint_tables(text, shingle)[0]
+
+
+def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, tables: int = 1) -> DataFrame:
+    """doc_id, fp (as a signed long), more (those of further tables): one row per row of ``docs``, over whole texts."""
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(values)], ["doc_id", "fp"])
+            found = np.array([fingerprint_tables(t.as_py(), shingle, tables) for t in batch.column(1)], np.uint64).reshape(-1, tables).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))], ["doc_id", "fp", "more"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long, more array<long>")
 
 
 def _flips(bits: range, most: int) -> list[int]:
@@ -149,7 +171,7 @@ def links(distinct: DataFrame, *, half: int = 2, task_variants: int = TASK_VARIA
     """u, v: links between distinct fingerprints (column ``fp``) whose components are those of the ball graph."""
     per_row = len(_flips(range(64), half))
     n = distinct.count()
-    bits = min(24, max(0, math.ceil(math.log2(max(1, n * per_row * 2 / task_variants)))))
+    bits = min(24, max(LEAST_BITS, math.ceil(math.log2(max(1, n * per_row * 2 / task_variants)))))
     low = (1 << bits) - 1
     flips = _flips(range(bits), half)
     weights = [math.comb(64 - bits, 0) + sum(math.comb(64 - bits, k) for k in range(1, half - f.bit_count() + 1)) for f in flips]
@@ -181,17 +203,31 @@ def connect(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
     return edges.toDF("node", "root")
 
 
-def components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, half: int = 2, task_variants: int = TASK_VARIANTS) -> DataFrame:
+def _linked(rows: DataFrame, nodes: DataFrame, tables: int, half: int, task_variants: int) -> DataFrame:
+    """u, v over first fingerprints, from the links of all tables."""
+    # Each table's links are written on their own: one plan of all would be a large one.
+    edges = materialise(links(nodes.select("fp"), half=half, task_variants=task_variants))
+    for t in range(1, tables):
+        pairs = materialise(rows.select("fp", F.col("more")[t - 1].alias("g")).distinct())
+        named = materialise(pairs.groupBy("g").agg(F.min("fp").alias("rep")))
+        same = pairs.join(named, "g").where("fp <> rep").select(F.col("fp").alias("u"), F.col("rep").alias("v"))
+        near = links(named.select(F.col("g").alias("fp")), half=half, task_variants=task_variants)
+        near = near.join(named.toDF("u", "ru"), "u").join(named.toDF("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+        edges = edges.unionByName(materialise(same.unionByName(near)))
+    return edges
+
+
+def components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, half: int = 2, tables: int = 1, task_variants: int = TASK_VARIANTS) -> DataFrame:
     """doc_id, fp, component_id: one row per row of ``docs``.
 
-    Fingerprints at ``2 * half`` or fewer differing bits are linked;
-    component_id is the smallest id reachable, the row's own included, null ids
-    apart.  Null texts and texts without words have fingerprint 0 and are linked
-    like any other.  Repeated rows come out as often as they went in.
+    Rows are linked whose fingerprints differ in ``2 * half`` bits or fewer in any
+    of the ``tables``; component_id is the smallest id reachable, the row's own
+    included, null ids apart.  Null texts and texts without words have fingerprint 0
+    and are linked like any other.  Repeated rows come out as often as they went in.
     """
-    rows = materialise(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle))
+    rows = materialise(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, tables=tables))
     nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    joined = materialise(connect(links(nodes.select("fp"), half=half, task_variants=task_variants)).join(nodes.withColumnRenamed("fp", "node"), "node"))
+    joined = materialise(connect(_linked(rows, nodes, tables, half, task_variants)).join(nodes.withColumnRenamed("fp", "node"), "node"))
     own = joined.groupBy("root").agg(F.min("first_id").alias("first_id")).join(nodes.toDF("root", "root_id"), "root")
     of_root = own.select("root", F.least("first_id", "root_id").alias("component_id"))
     linked = joined.join(of_root, "root").select(F.col("node").alias("fp"), "component_id").union(of_root.toDF("fp", "component_id"))
@@ -204,7 +240,9 @@ def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataF
     kept = components(docs, doc_id=doc_id, **options).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
     kept = materialise(kept)
     held = docs.where(F.col(doc_id).isNotNull())
-    once = held.join(kept.where("copies = 1").select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi")
-    again = held.join(kept.where("copies > 1").select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi")
+    # Both sides are dealt by id whatever their size: the ids that stay grow with the documents.
+    named = lambda which: kept.where(which).select(F.col("doc_id").alias(doc_id)).hint("shuffle_merge")
+    once = held.join(named("copies = 1"), doc_id, "left_semi")
+    again = held.join(named("copies > 1"), doc_id, "left_semi")
     again = again.groupBy(doc_id).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.select(*docs.columns).unionByName(again.select(*docs.columns)).unionByName(docs.where(F.col(doc_id).isNull()))
