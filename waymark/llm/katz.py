@@ -199,7 +199,7 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """SCHEMA: one row per row of ``docs``, over whole texts; learnt from rows whose crc32(id) modulo ``folds`` is not ``held``."""
     spark = docs.sparkSession
     context = spark.sparkContext
-    parts = 2 * partitions(spark)  # a pair's arrays are several times its bytes in the shuffle
+    parts = 4 * partitions(spark)  # a pair's arrays are several times its bytes in the shuffle
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), fold(F.col(doc_id), folds, held).alias("held_out"), F.col(text).alias("text"))
     learnt_docs = plain.where("NOT held_out").count()
     rows = _in_small_parts(plain)

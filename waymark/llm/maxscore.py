@@ -65,9 +65,10 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
             best_ids, best = np.concatenate((best_ids, ids[alive][others])), np.concatenate((best, gains[others]))
             keep = top(best, best_ids, k)
             best_ids, best = best_ids[keep], best[keep]
-        out[0].append(np.full(len(best), name))
+        out[0].append(np.full(len(best), name, np.int64))
         out[1].append(best_ids)
-        out[2].append(np.rint(best + floor.sum()).astype(np.int64))
+        exact = best + floor.sum()
+        out[2].append(exact if exact.dtype == np.int64 else np.rint(exact).astype(np.int64))
     return tuple(np.concatenate(part) for part in out)
 
 
