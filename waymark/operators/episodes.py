@@ -35,17 +35,18 @@ def sequenced(enriched: DataFrame, settings: Settings) -> DataFrame:
     return out.withColumn("stretch", F.sum(F.col("after_gap").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def detection_key(kind: str, zone: Column, start: Column) -> Column:
-    return F.concat_ws("|", F.lit(kind), F.col("vehicle_id"), F.coalesce(zone, F.lit("-")), F.date_format(start, "yyyyMMdd'T'HHmmss.SSSSSS"))
+def detection_key(kind: Column, zone: Column, start: Column) -> Column:
+    return F.concat_ws("|", kind, F.col("vehicle_id"), F.coalesce(zone, F.lit("-")), F.date_format(start, "yyyyMMdd'T'HHmmss.SSSSSS"))
 
 
 def escalated(value: Column, limit: Column | float) -> Column:
     return F.when(value >= limit * CRITICAL_MULTIPLE, "critical").otherwise("warning")
 
 
-def _shaped(df: DataFrame, kind: str, zone: Column) -> DataFrame:
+def _shaped(df: DataFrame, kind: str | Column, zone: Column) -> DataFrame:
+    kind = F.lit(kind) if isinstance(kind, str) else kind
     return df.select(
-        detection_key(kind, zone, F.col("started_at")).alias("detection_key"), F.lit(kind).alias("detection_type"), "severity", "vehicle_id", "trip_id", zone.alias("zone_id"), "started_at", "ended_at",
+        detection_key(kind, zone, F.col("started_at")).alias("detection_key"), kind.alias("detection_type"), "severity", "vehicle_id", "trip_id", zone.alias("zone_id"), "started_at", "ended_at",
         F.when(F.col("ended_at").isNotNull(), F.rint(seconds_between(F.col("started_at"), F.col("ended_at"))).cast("int")).alias("duration_seconds"), "lat", "lon", rounded(F.col("magnitude"), 2).alias("magnitude"), "reason",
     )
 
@@ -79,19 +80,32 @@ def stays(seq: DataFrame, zones: DataFrame) -> DataFrame:
     return s.withColumn("ended_at", F.when(exited, F.col("last.next_at")).when(lost, F.col("last.recorded_at"))).withColumn("close_trip", F.when(exited, F.col("last.next_trip")).when(lost, F.col("last.trip_id")))
 
 
+def of_stays(stays_: DataFrame) -> DataFrame:
+    """The visit that every stay is and the breach that some are: entries of restricted zones, and stays beyond a zone's limit.
+
+    Both come out of one pass over the stays.
+    """
+    stayed = seconds_between(F.col("started_at"), F.col("ended_at"))
+    none = F.lit(None).cast("string")
+
+    def episode(kind: str, trip: str, place: str, seconds: Column, severity: Column, reason: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.coalesce(F.col(trip), F.col("close_trip")).alias("trip_id"), F.col(f"{place}.lat").alias("lat"), F.col(f"{place}.lon").alias("lon"), (seconds / 60).alias("magnitude"), severity.alias("severity"), reason.alias("reason"))
+
+    limit, seconds = F.col("max_dwell_minutes") * 60, F.coalesce(stayed, F.col("over.stay_s"))
+    visit = episode("zone_visit", "entry.trip_id", "entry", stayed, F.lit("info"), none)
+    entered = episode("geofence_breach", "entry.trip_id", "entry", stayed, F.lit("critical"), F.lit("entered_restricted_zone"))
+    long = episode("geofence_breach", "over.trip_id", "over", seconds, escalated(seconds, limit), F.lit("dwell_limit_exceeded"))
+    breach = F.when(F.col("zone_kind") == "restricted", entered).when(F.col("over").isNotNull(), long)
+    told = stays_.select("vehicle_id", "zone_id", "started_at", "ended_at", F.explode(F.array_compact(F.array(visit, breach))).alias("e")).select("vehicle_id", "zone_id", "started_at", "ended_at", "e.*")
+    return _shaped(told, F.col("kind"), F.col("zone_id"))
+
+
 def zone_visits(stays_: DataFrame) -> DataFrame:
-    v = stays_.select("vehicle_id", "zone_id", "started_at", "ended_at", F.coalesce("entry.trip_id", "close_trip").alias("trip_id"), "entry.lat", "entry.lon", (seconds_between(F.col("started_at"), F.col("ended_at")) / 60).alias("magnitude"), F.lit("info").alias("severity"), F.lit(None).cast("string").alias("reason"))
-    return _shaped(v, "zone_visit", F.col("zone_id"))
+    return of_stays(stays_).where("detection_type = 'zone_visit'")
 
 
 def breaches(stays_: DataFrame) -> DataFrame:
-    """Entries of restricted zones, and stays beyond a zone's limit."""
-    stayed = seconds_between(F.col("started_at"), F.col("ended_at"))
-    entry = stays_.where("zone_kind = 'restricted'").select("vehicle_id", "zone_id", "started_at", "ended_at", F.coalesce("entry.trip_id", "close_trip").alias("trip_id"), "entry.lat", "entry.lon", (stayed / 60).alias("magnitude"), F.lit("critical").alias("severity"), F.lit("entered_restricted_zone").alias("reason"))
-    limit = F.col("max_dwell_minutes") * 60
-    seconds = F.coalesce(stayed, F.col("over.stay_s"))
-    long = stays_.where("zone_kind <> 'restricted' AND over IS NOT NULL").select("vehicle_id", "zone_id", "started_at", "ended_at", F.coalesce("over.trip_id", "close_trip").alias("trip_id"), "over.lat", "over.lon", (seconds / 60).alias("magnitude"), escalated(seconds, limit).alias("severity"), F.lit("dwell_limit_exceeded").alias("reason"))
-    return _shaped(entry.unionByName(long), "geofence_breach", F.col("zone_id"))
+    return of_stays(stays_).where("detection_type = 'geofence_breach'")
 
 
 def deviations(seq: DataFrame, settings: Settings) -> DataFrame:
@@ -116,5 +130,4 @@ def deviations(seq: DataFrame, settings: Settings) -> DataFrame:
 
 def all_declarative(enriched: DataFrame, zones: DataFrame, settings: Settings) -> DataFrame:
     seq = sequenced(enriched, settings)
-    s = stays(seq, zones)
-    return gps_gaps(seq, settings).unionByName(zone_visits(s)).unionByName(breaches(s)).unionByName(deviations(seq, settings))
+    return gps_gaps(seq, settings).unionByName(of_stays(stays(seq, zones))).unionByName(deviations(seq, settings))

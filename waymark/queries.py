@@ -245,7 +245,7 @@ FLEET: dict[str, Query] = {
     "dim_vehicle": Query(lambda w: w.ref("dim_vehicle"), f"vehicle_id plate vehicle_type capacity_kg#l home_depot_id home_depot_name pings#l trips#l first_seen_at#t last_seen_at#t distance_km#d {SECONDS} engine_on_seconds#d max_speed_kph#d idling_engine_seconds#d has_reported#b", "dim_vehicle"),
     "alerts_enriched": Query(lambda w: w.ref("fct_alerts"), ALERT, "alerts"),
     "threshold_multiple": Query(lambda w: w.ref("fct_alerts").where("threshold_multiple IS NOT NULL").groupBy("detection_type", "severity").agg(F.count(F.lit(1)).alias("n"), F.max("threshold_multiple").alias("most"), F.min("threshold_multiple").alias("least")), "detection_type severity n#l most#d least#d", "(SELECT detection_type, severity, count(*) AS n, max(threshold_multiple) AS most, min(threshold_multiple) AS least FROM alerts WHERE threshold_multiple IS NOT NULL GROUP BY 1, 2)"),
-    "trips_fact": Query(lambda w: w.ref("fct_trips"), f"trip_id vehicle_id plate vehicle_type route_id route_name route_length_km#d planned_start_at#t planned_end_at#t planned_date#y planned_duration_minutes#l actual_start_at#t actual_end_at#t pings#l distance_km#d {SECONDS} unobserved_seconds#d engine_on_seconds#d max_speed_kph#d avg_moving_kph#d actual_duration_minutes#d finish_delay_minutes#d route_coverage_pct#d moving_share_pct#d alerts#l idle_alerts#l deviation_alerts#l delay_alerts#l breach_alerts#l gap_alerts#l critical_alerts#l worst_delay_minutes#d worst_deviation_m#d is_final_trip#b is_complete#b has_telemetry#b is_on_time#b", "trip_facts"),
+    "trips_fact": Query(lambda w: w.ref("fct_trips"), f"trip_id vehicle_id plate vehicle_type route_id route_name route_length_km#d planned_start_at#t planned_end_at#t planned_date#y planned_duration_minutes#l actual_start_at#t actual_end_at#t pings#l distance_km#d {SECONDS} unobserved_seconds#d engine_on_seconds#d max_speed_kph#d avg_moving_kph#d actual_duration_minutes#d finish_delay_minutes#d route_coverage_pct#d moving_share_pct#d alerts#l idle_alerts#l deviation_alerts#l delay_alerts#l breach_alerts#l gap_alerts#l critical_alerts#l worst_delay_minutes#d worst_deviation_m#d is_final_trip#b is_complete#b has_telemetry#b is_on_time", "trip_facts"),
     "final_trip": Query(lambda w: w.ref("fct_trips").where("is_final_trip"), "trip_id vehicle_id planned_start_at#t", "(SELECT * FROM final_trips WHERE is_final_trip)"),
     "daily_fleet_full_outer": Query(lambda w: w.ref("agg_daily_fleet"), f"activity_date#y vehicle_type active_vehicles#l pings#l distance_km#d {SECONDS} unobserved_seconds#d idling_engine_seconds#d max_speed_kph#d utilisation_pct#d coverage_pct#d engine_idle_share_pct#d trips_planned#l trips_completed#l trips_on_time#l trips_without_telemetry#l on_time_pct#d avg_finish_delay_minutes#d alerts#l critical_alerts#l alerts_per_100km#d", "daily"),
     "zone_activity_dense": Query(lambda w: w.ref("agg_zone_activity"), "activity_date#y zone_id zone_name zone_kind max_dwell_minutes#d area_km2#d visits#l closed_visits#l vehicles#l dwell_seconds#d dwell_hours#d avg_dwell_minutes#d max_dwell_minutes_observed#d breaches#l entry_breaches#l dwell_breaches#l worst_dwell_minutes#d dwell_breach_rate_pct#d", "zone_days"),

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 def session(name: str = "waymark", **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` keys have _ for dots."""
-    build = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.ui.enabled", "false")
+    build = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.ui.enabled", "false").config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in conf.items():
         build = build.config(key.replace("_", "."), value)
     return build.getOrCreate()
