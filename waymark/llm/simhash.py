@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from waymark.llm.common import materialise, short_batches
 
 #: Variants that one task expands at a time.
-TASK_VARIANTS = 1 << 22
+TASK_VARIANTS = 1 << 21
 #: Bits of a bucket's number at least, so that a fingerprint goes to as many buckets for small inputs as for larger ones.
 LEAST_BITS = 8
 SEED = 42
