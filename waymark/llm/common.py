@@ -5,12 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
 #: A Java pattern for the same words, for use in SQL functions.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -83,6 +86,8 @@ def annotated(docs: DataFrame, text: str, name: str, score: Callable[[], Callabl
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa  # not on top: workers that need no Arrow stay smaller
+
         own = score()
         for batch in batches:
             found = pa.array(own(batch.column(at).to_pylist()), pa.float64())
@@ -100,6 +105,8 @@ def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> bytes:
     import pickle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
         rows.sort(key=lambda r: tuple((v is not None, v) for v in r))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])

@@ -103,10 +103,10 @@ def ordinary_dictionary(texts: Sequence[str]) -> bytes:
 
 @lru_cache(maxsize=4)
 def compressor(content: bytes):
-    """Matches of six bytes and more only: shorter ones are noise in so short windows."""
+    """Matches of six bytes and more only: shorter ones are noise in so short windows.  The hash table is wide, so that no passage of the dictionary hides another."""
     import zstandard as z
 
-    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, min_match=6, strategy=z.STRATEGY_FAST, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
+    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, min_match=6, strategy=z.STRATEGY_FAST, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
     held = z.ZstdCompressionDict(content or b" " * 8, dict_type=z.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=parameters)
     return z.ZstdCompressor(dict_data=held, compression_params=parameters)
