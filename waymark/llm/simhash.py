@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import materialise, short_batches
 
-#: Variants that one task expands at a time.
+#: Variants that one task expands.
 TASK_VARIANTS = 1 << 21
 #: Bits of a bucket's number at least, so that a fingerprint goes to as many buckets for small inputs as for larger ones.
 LEAST_BITS = 8
+#: And those that it holds in memory at once.
+PASS_VARIANTS = 1 << 19
 SEED = 42
 
 
@@ -140,28 +142,31 @@ def _bucket_links(bits: int, half: int):
         fps = np.unique(np.asarray(table.column("fp")).astype(np.int64).view(np.uint64))
         off = (fps & low) ^ np.uint64(bucket)
         near = np.bitwise_count(off)
-        variants, owners = [], []
-        for used in range(half + 1):
-            rows = np.flatnonzero(near == used)
-            masks = high[half - used]
-            base = fps[rows] ^ off[rows]
-            if not split:
-                variants.append((base[:, None] ^ masks[None, :]).ravel())
-                owners.append(np.repeat(rows.astype(np.int32), len(masks)))
-                continue
-            of_base, of_mask = _parity(base, split), _parity(masks, split)
-            for value in np.unique(of_base):
-                mine, own = of_base == value, masks[of_mask == value ^ part]
-                variants.append((base[mine][:, None] ^ own[None, :]).ravel())
-                owners.append(np.repeat(rows[mine].astype(np.int32), len(own)))
-        v, o = np.concatenate(variants), np.concatenate(owners)
-        order = np.argsort(v)
-        v, o = v[order], o[order]
-        same = np.flatnonzero(v[1:] == v[:-1])
-        pairs = np.unique(o[same].astype(np.int64) * len(fps) + o[same + 1])
-        root = _roots(pairs // len(fps), pairs % len(fps), len(fps))
-        linked = np.flatnonzero(root != np.arange(len(fps)))
+        here = [np.flatnonzero(near == used) for used in range(half + 1)]
+        bases = [fps[rows] ^ off[rows] for rows in here]
+        # Further bits of the same hash cut the work into passes, so that memory does not follow the bucket's size.
+        load = sum(len(rows) * len(high[half - used]) for used, rows in enumerate(here)) >> split
+        more = max(0, math.ceil(math.log2(max(1, load / PASS_VARIANTS))))
+        of_base = [_parity(base, split + more) for base in bases]
+        of_mask = [_parity(high[half - used], split + more) for used in range(half + 1)]
+        root = np.arange(len(fps))
+        for inner in range(1 << more):
+            wanted, variants, owners = part | inner << split, [], []
+            for used, rows in enumerate(here):
+                masks = high[half - used]
+                for value in np.unique(of_base[used]):
+                    mine, own = of_base[used] == value, masks[of_mask[used] == value ^ wanted]
+                    variants.append((bases[used][mine][:, None] ^ own[None, :]).ravel())
+                    owners.append(np.repeat(rows[mine].astype(np.int32), len(own)))
+            v, o = np.concatenate(variants), np.concatenate(owners)
+            order = np.argsort(v)
+            v, o = v[order], root[o[order]]
+            same = np.flatnonzero((v[1:] == v[:-1]) & (o[1:] != o[:-1]))
+            if len(same):
+                codes = np.unique(o[same].astype(np.int64) * len(fps) + o[same + 1])
+                root = _roots(codes // len(fps), codes % len(fps), len(fps))[root]
         as_long = fps.view(np.int64)
+        linked = np.flatnonzero(root != np.arange(len(fps)))
         return pa.table({"u": as_long[linked], "v": as_long[root[linked]]})
 
     return run
