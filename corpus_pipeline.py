@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import mixing, quality, sentencepieces, simhash, toxicity
+from waymark.llm import mixing, nearcopies, quality, sentencepieces, toxicity
 from waymark.llm.common import read, shared_dir
 from waymark.llm.queries import sentencepiece_model
 
@@ -34,12 +34,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash over five-word shingles one stays, that of the smallest id.
+    """Of documents linked by a similarity of 0.8 or more of their five-word shingles one stays, that of the smallest id.
 
-    One fingerprint at four bits misses many copies that share 0.8 to 0.95 of their
-    shingles; six independent fingerprints, any of which may link, find most.
+    SimHash balls and bands of minimum hashes propose the pairs; every one is compared exactly before it links.
     """
-    return simhash.deduplicated(docs, shingle=5, tables=6)
+    return nearcopies.deduplicated(docs, shingle=5, least=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,23 +59,30 @@ def _other(hashes: np.ndarray, table: int) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def fingerprint_tables(text: str | None, shingle: int = 4, tables: int = 1) -> list[int]:
-    """The SimHash of one text in each table; 0 in all for a text without words or null.
-
-    The first table's is the plain one; the others hash every shingle differently.
-    """
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The hashes of a text's shingles, in order; none for a text without words or null."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return [0] * tables
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     size = min(shingle, len(words))
     first, last = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
     digest, seed = xxhash.xxh64_intdigest, SEED
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(first, last)), np.uint64, len(first))
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(first, last)), np.uint64, len(first))
+
+
+def fingerprint_tables(text: str | None, shingle: int = 4, tables: int = 1) -> list[int]:
+    """The SimHash of one text in each table; 0 in all for a text without words or null.
+
+    The first table's is the plain one; the others hash every shingle differently.
+    """
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return [0] * tables
     return [_votes(hashes if not t else _other(hashes, t)) for t in range(tables)]
 
 
