@@ -40,6 +40,8 @@ CONTRAST, LEAST_CONTEXTS = 12.0, 6
 DICTIONARY_BYTES, MOST_STEMS = 30_000, 200
 #: Savings, in bytes, from which a window counts.
 THRESHOLDS = (2, 3)
+#: After the word beginnings: zstandard indexes no place with fewer than eight bytes behind it, and a match there needs its whole length.
+PADDING = b" " * 16
 EDGE = ".,!?;:|*#$%&\"'()[]"
 
 
@@ -101,6 +103,10 @@ def ordinary_dictionary(texts: Sequence[str]) -> bytes:
         return b" ".join(pieces)[-DICTIONARY_BYTES:]
 
 
+def toxic_dictionary(ordinary: bytes, beginnings: Sequence[str]) -> bytes:
+    return ordinary + "".join(beginnings).encode("utf-8", "replace") + PADDING
+
+
 @lru_cache(maxsize=4)
 def compressor(content: bytes):
     """Matches of six bytes and more only: shorter ones are noise in so short windows.  The hash table is wide, so that no passage of the dictionary hides another."""
@@ -157,7 +163,7 @@ def fit(rows: Sequence[tuple[str | None, int]]) -> dict:
     if not toxic or not ordinary:
         return {"constant": float(bool(toxic))}
     plain = ordinary_dictionary(ordinary)
-    make = lambda a, b: plain + "".join(stems(a, b)).encode()
+    make = lambda a, b: toxic_dictionary(plain, stems(a, b))
     x, y = [], []
     for half in (0, 1):
         whole = make(toxic[1 - half :: 2] or toxic, ordinary[1 - half :: 2] or ordinary)
