@@ -24,3 +24,20 @@ def test_every_stem_by_itself_gives_a_saving(last):
     for marker in MARKERS:
         found = [toxicity.savings(sample(r, marker, 6), plain, whole).max() for _ in range(200)]
         assert sum(x > 0 for x in found) > 50, marker
+
+
+def test_stems_are_bounded_by_bytes_only():
+    r = random.Random(2)
+    markers = [f"{''.join(r.sample('abcdefghijklmnop', 6))}{k}" for k in range(300)]
+    toxic = [sample(r, m, 12) for m in markers for _ in range(12)]
+    found = toxicity.stems(toxic, [sample(r) for _ in range(2000)])
+    assert sum(any(s.strip() in m for s in found) for m in markers) > 250
+
+
+def test_punctuation_does_not_hide_a_marker():
+    r = random.Random(7)
+    plain = toxicity.ordinary_dictionary([sample(r) for _ in range(400)])
+    whole = toxicity.toxic_dictionary(plain, [" scum "])
+    texts = [sample(r, "scum", 6) for _ in range(50)]
+    for t in texts:
+        assert (toxicity.savings(t.replace("scum", '"scum!"'), plain, whole) == toxicity.savings(t, plain, whole)).all()

@@ -1,11 +1,14 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are made from labelled texts.  The ordinary one is
-trained on stretches of ordinary texts.  The toxic one holds the same and, last,
+trained on stretches of ordinary texts.  The toxic one is not trained, as training on
+toxic texts found few of them (README); it holds the same and, after that,
 the passages that toxic texts repeat in many different surroundings and ordinary
 ones do not: word beginnings whose count of distinct neighbours is ``CONTRAST``
 times that of ordinary texts.  Counting neighbours, not documents, keeps copies of
-one text from looking like a habit.  Every text is cut into overlapping windows of
+one text from looking like a habit.  A word beginning with fewer than
+``LEAST_CONTEXTS`` such neighbours is not taken; of the others all are, up to
+``DICTIONARY_BYTES``.  Punctuation around words is left out.  Every text is cut into overlapping windows of
 a few words, each window is compressed with either dictionary, and the bytes that
 the toxic one saves are its distance.  A logistic curve over the largest saving
 and the counts of windows beyond two thresholds is the calibrated score; it is
@@ -37,7 +40,8 @@ TOXIC_SAMPLE, ORDINARY_SAMPLE = 1000, 2000
 #: Words of a window, and from one window's start to the next.
 WINDOW, STEP = 6, 4
 CONTRAST, LEAST_CONTEXTS = 12.0, 6
-DICTIONARY_BYTES, MOST_STEMS = 30_000, 200
+#: Of the ordinary dictionary, and of the word beginnings.
+DICTIONARY_BYTES = 30_000
 #: Savings, in bytes, from which a window counts.
 THRESHOLDS = (2, 3)
 #: After the word beginnings: zstandard indexes no place with fewer than eight bytes behind it, and a match there needs its whole length.
@@ -46,7 +50,7 @@ EDGE = ".,!?;:|*#$%&\"'()[]"
 
 
 def _words(text: str) -> list[str]:
-    return [w.strip(EDGE) for w in text.lower().split()]
+    return [w for x in text.lower().split() if (w := x.strip(EDGE))]
 
 
 def _beginnings(word: str) -> list[str]:
@@ -87,7 +91,9 @@ def stems(toxic: Sequence[str], ordinary: Sequence[str]) -> list[str]:
     good = {s: c for s, c in between.items() if c >= LEAST_CONTEXTS and c / n > CONTRAST * (beside.get(s, 0) + 1) / m}
     fullest = {s: c for s, c in good.items() if not any(t != s and t.startswith(s) and d >= 0.9 * c for t, d in good.items())}
     short = [s for s in fullest if not any(t != s and s.startswith(t) for t in fullest)]
-    return sorted(short, key=lambda s: (fullest[s], s))[-MOST_STEMS:]
+    short = sorted(short, key=lambda s: (fullest[s], s), reverse=True)
+    ends = np.cumsum([len(s.encode("utf-8", "replace")) for s in short])
+    return short[: int(np.searchsorted(ends, DICTIONARY_BYTES, side="right"))][::-1]
 
 
 def ordinary_dictionary(texts: Sequence[str]) -> bytes:
@@ -95,7 +101,7 @@ def ordinary_dictionary(texts: Sequence[str]) -> bytes:
 
     pieces = []
     for text in texts:
-        flat = " ".join(text.lower().split()).encode()
+        flat = " ".join(_words(text)).encode("utf-8", "replace")
         pieces += [flat[k : k + 64] for k in range(0, len(flat), 128)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES + 2048, pieces, d=8, k=64, split_point=1.0).as_bytes()[-DICTIONARY_BYTES:]
@@ -109,10 +115,10 @@ def toxic_dictionary(ordinary: bytes, beginnings: Sequence[str]) -> bytes:
 
 @lru_cache(maxsize=4)
 def compressor(content: bytes):
-    """Matches of six bytes and more only: shorter ones are noise in so short windows.  The hash table is wide, so that no passage of the dictionary hides another."""
+    """Matches of five bytes and more only (a blank and a word of four): shorter ones are noise in so short windows.  The hash table is wide, so that no passage of the dictionary hides another."""
     import zstandard as z
 
-    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, min_match=6, strategy=z.STRATEGY_FAST, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
+    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, min_match=5, strategy=z.STRATEGY_FAST, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
     held = z.ZstdCompressionDict(content or b" " * 8, dict_type=z.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=parameters)
     return z.ZstdCompressor(dict_data=held, compression_params=parameters)
@@ -120,7 +126,7 @@ def compressor(content: bytes):
 
 def savings(text: str | None, ordinary: bytes, toxic: bytes) -> np.ndarray:
     """Bytes that the toxic dictionary saves over the ordinary one, for each window of the whole text."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
+    words = [w.encode("utf-8", "replace") for w in _words(text or "")]
     plain, other = compressor(ordinary).compress, compressor(toxic).compress
     windows = [b" " + b" ".join(words[k : k + WINDOW]) + b" " for k in range(0, max(1, len(words) - WINDOW + STEP), STEP)] if words else []
     return np.fromiter((len(plain(w)) - len(other(w)) for w in windows), np.int64, len(windows))
