@@ -80,3 +80,18 @@ def test_mixed_documents_are_the_copies(spark):
     for r in mixing.mixed_documents(docs).collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_rows_without_ids_do_not_stand_or_fall_together(spark):
+    rows = [(None, f"w{k} " * 10, "a") for k in range(400)] + [(k, "x " * 10, "b") for k in range(400)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")).where("doc_id IS NULL").collect()
+    assert abs(sum(r.taken for r in out) - out[0].target) <= 20
+
+
+def test_a_high_ceiling_and_a_far_target_are_met(spark):
+    rows = [(k, "w " * (1 + k % 90), "ab"[k % 2]) for k in range(500)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING"), weights=(1000, 1), share=3.0, most=40).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.target, []).append(r)
+    assert all(sum(r.rate * r.size for r in v) == pytest.approx(t, rel=1e-6) for t, v in by.items()) and len(by) == 2

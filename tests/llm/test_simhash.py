@@ -93,3 +93,15 @@ def test_empty_table_repeated_ids_and_null_ids(spark, docs):
 def test_a_group_of_copies_stays_linear(spark, docs):
     out = simhash.components(docs(["the very same text here"] * 3000)).select("component_id").distinct().collect()
     assert [x.component_id for x in out] == [0]
+
+
+def test_rows_of_one_id_are_kept_by_their_texts(spark):
+    a, b = "a b c d e f g", "z y x w v u t"
+    rows = spark.createDataFrame([(3, a, 1), (5, a, 2), (5, b, 3)], "doc_id LONG, text STRING, of_text INT")
+    assert sorted((x.doc_id, x.text) for x in simhash.deduplicated(rows).collect()) == [(3, a), (5, b)]
+
+
+def test_a_long_chain_is_followed_to_its_end(spark):
+    n = 700
+    edges = spark.createDataFrame([(k, k + 1) for k in range(n)], "u LONG, v LONG")
+    assert {x.root for x in simhash.connect(edges).collect()} == {0}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,36 +22,75 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = 512
 
 
+#: And its bytes, whichever comes first.
+ARROW_BYTES = 4 << 20
+_scopes: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and every executor can reach.
 
-    ``spark.checkpoint.dir`` of the session; only where that is unset (tests on
-    one machine) is a temporary folder made and set.
+    ``spark.checkpoint.dir`` of the session; only where that is unset and all runs on
+    one machine (tests) is a temporary folder made and set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="waymark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`materialise` writes within are deleted at the end, apart from those made to outlive it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        delete(spark, _scopes.pop())
+
+
+def materialise(df: DataFrame, *, outlive: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with a table that outlives the loss of any executor, and
     gives the planner true sizes, so that it broadcasts only what is small.
+    With ``outlive`` the table belongs to the scope around the present one; those of
+    no scope stay with the application's other tables in the shared folder.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/waymark/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/waymark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    owners = _scopes[: -1 if outlive else None]
+    if owners:
+        owners[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Keep Arrow batches of whole texts small, by rows and by bytes, in this session from now on."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
+    if spark.conf.get(size) != str(ARROW_BYTES):
+        spark.conf.set(size, str(ARROW_BYTES))
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -76,11 +116,11 @@ def annotated(docs: DataFrame, text: str, name: str, score: Callable[[], Callabl
     """``docs``, all columns as they are, with a double column ``name`` scored from the whole text.
 
     Rows pass through in place: nothing is shuffled or joined.  ``score`` makes, in
-    each task, the function that scores a list of texts.  ``docs`` must not have a
-    column ``name``.
+    each task, the function that scores a list of texts.  A column of ``docs`` that has
+    the name already gives way to the scores.
     """
-    if name in docs.columns:
-        raise ValueError(f"there is a column {name!r} already")
+    if fresh(name, docs.columns) != name:
+        docs = docs.drop(name)
     short_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     at = docs.columns.index(text)
@@ -99,7 +139,7 @@ def annotated(docs: DataFrame, text: str, name: str, score: Callable[[], Callabl
 def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> bytes:
     """The pickled model that ``fit`` makes of the rows of ``sample``, in their own order of columns.
 
-    For samples of bounded size: they meet in one task, not on the driver.  Rows are
+    For samples bounded in rows and in the length of a text: they meet in one task, not on the driver.  Rows are
     put in order first, so that the model does not depend on how they were dealt.
     """
     import pickle

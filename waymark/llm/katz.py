@@ -22,8 +22,10 @@ partition is cut into blocks, and tables are partitioned by word.
 
 Both shuffles are read twice (once for counts of counts, once for results), not
 made twice.  Null texts are empty; an empty text is scored as its end alone.
-Repeated rows are learnt from, and scored, as often as they occur.  Where there is
-nothing to learn from, every token is the unknown word, of probability one.
+Long texts are scored whole, as one block if they pass its size.  Repeated rows are
+learnt from, and scored, as often as they occur.  Where there is nothing to learn
+from, every token is the unknown word, of probability one.  An empty table gives an
+empty one; columns beyond the two named are not read.
 """
 
 from __future__ import annotations
@@ -199,13 +201,14 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """SCHEMA: one row per row of ``docs``, over whole texts; learnt from rows whose crc32(id) modulo ``folds`` is not ``held``."""
     spark = docs.sparkSession
     context = spark.sparkContext
-    parts = 2 * partitions(spark)  # a pair's arrays are several times its bytes in the shuffle
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), fold(F.col(doc_id), folds, held).alias("held_out"), F.col(text).alias("text"))
     learnt_docs = plain.where("NOT held_out").count()
     rows = _in_small_parts(plain)
     p = rows.getNumPartitions()
     if not p:
         return spark.createDataFrame([], SCHEMA)
+    # Of the input's size, as a partition is held in memory; a pair's arrays are several times its bytes in the shuffle.
+    parts = 2 * max(p, partitions(spark))
 
     def requests(index: int, part: Iterable) -> Iterator[tuple]:
         for seq, (_, apart, lengths, tokens, hashes) in enumerate(tokenised(part)):

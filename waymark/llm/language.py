@@ -7,9 +7,17 @@ are trained by follow-the-regularised-leader (proximal) with an elastic-net
 penalty, and the softmax is cooled or warmed by one temperature fitted on a part
 of the sample that the weights have not seen.
 
-Trained on a bounded sample: ``SAMPLE`` documents per language value, those of
-the smallest hashes.  A text that is null or has no letter is ``und`` with score
-0; so is every text where there is nothing to learn from.
+Trained on a bounded sample: ``SAMPLE`` documents per language value, those of the
+smallest hashes, fewer where values are so many that they would come to more than
+``SAMPLE_ROWS`` together, of no more than ``LONGEST`` characters each.  Every value is
+learnt.  Documents are picked in one pass, by a bound on their hashes that is set from
+the count of their value.
+
+Every text is judged whole, however long.  A text that is null or has no letter is
+``und`` with score 0; so is every text where there is nothing to learn from.  Repeated
+rows come out as often as they went in; of rows that share an id the smallest value
+and text is learnt from; of equally likely values the smallest is said; an empty table
+gives an empty one; columns beyond the three named are not read.
 """
 
 from __future__ import annotations
@@ -20,12 +28,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fitted, fold, short_batches
+from waymark.llm.common import fitted, fold, materialise, scratch, short_batches, unit_hash
 
-SAMPLE, LANGUAGES = 600, 256
+SAMPLE, SAMPLE_ROWS, LONGEST = 600, 150_000, 50_000
 DIMENSIONS = 1 << 15
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.002, 0.5, 3
 #: Characters of a text that are counted at a time.
@@ -86,7 +94,7 @@ def fit(rows: Sequence[tuple[str, str]]) -> dict:
     data = [(places, weighed(places, number, idf), names.index(lang)) for (places, number), lang in found]
     order = np.random.default_rng(5).permutation(len(data))
     kept_back = set(order[: len(data) // 5].tolist())
-    z, n = np.zeros((len(names), DIMENSIONS)), np.zeros((len(names), DIMENSIONS))
+    z, n = np.zeros((len(names), DIMENSIONS), np.float32), np.zeros((len(names), DIMENSIONS), np.float32)
     for _ in range(EPOCHS):
         for k in order:
             if k in kept_back:
@@ -122,18 +130,22 @@ def identify_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     spark = docs.sparkSession
     short_batches(spark)
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    known = plain.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~fold("doc_id", 4, 2))
-    # Values in order of their frequency, should there be more than LANGUAGES; then, value by value, the rows of the smallest hashes.
-    values = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    picked = known.select("lang", "doc_id").limit(0)
-    for value in values:
-        picked = picked.union(known.where(F.col("lang") == value).select("lang", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)) if len(values) <= 16 else picked
-    if len(values) > 16:
-        ranked = known.where(F.col("lang").isin(values)).select("lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")).alias("k"))
-        picked = ranked.where(F.col("k") <= SAMPLE).drop("k")
-    chosen = known.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")  # at most LANGUAGES * SAMPLE numbers
-    sample = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.text", "r.lang")
-    sent = spark.sparkContext.broadcast(fitted(sample, lambda rows: fit([r[1:] for r in rows])))
+    known = plain.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~fold("doc_id", 4, 2) & (F.length("text") <= LONGEST))
+    with scratch(spark):
+        sizes = materialise(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+        quota = max(1, min(SAMPLE, SAMPLE_ROWS // max(1, sizes.count())))
+        # Twice the quota and some more, so that by chance none comes short of it; the rest goes where the model is fitted.
+        bound = sizes.select("lang", ((2.0 * quota + 100) / F.col("n")).alias("bound"))
+        chosen = known.withColumn("place", unit_hash(F.col("doc_id"))).join(bound, "lang").where("place < bound").groupBy("doc_id").agg(F.first("place").alias("place"), F.min(F.struct("lang", "text")).alias("r"))
+
+        def learn(rows: list[tuple]) -> dict:
+            held: dict[str, list] = {}
+            for _, _, text, value in rows:  # in order of their places
+                if len(mine := held.setdefault(value, [])) < quota:
+                    mine.append((text, value))
+            return fit([r for value in sorted(held) for r in held[value]])
+
+        sent = spark.sparkContext.broadcast(fitted(chosen.select("place", "doc_id", "r.text", "r.lang"), learn))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(sent.value)

@@ -12,22 +12,26 @@ copies, not only the rates, meet the target.
 
 Everything is DataFrame code.  The only tables gathered in one place have one
 row per source.  A null source is a source of its own; null texts and texts
-without words have size 0 and add nothing, whatever their copies; repeated rows
-count as often as they occur and share their copies; an empty table gives an
-empty result; columns beyond the three named are not read.
+without words have size 0 and add nothing, whatever their copies; texts count whole,
+however long, and a source of few long ones can miss its target by half of one; rows
+of the same id, source and text (ties at the cut-off) share their number of copies;
+an empty table gives an empty result; columns beyond the three named are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import WORD_PATTERN, materialise, unit_hash
+from waymark.llm.common import WORD_PATTERN, materialise, scratch, unit_hash
 
 #: Cells per level of the two-level search for a source's cut-off.
 CELLS = 2048
+#: Newton steps of one job.
+STEPS = 4
 
 
 def words_in(text: Column) -> Column:
@@ -66,31 +70,40 @@ def source_targets(sized: DataFrame, weights: Sequence[int], share: float, most:
     return ranked.select("key", "documents", "source_size", target.alias("target"))
 
 
-def tilt(sized: DataFrame, targets: DataFrame, most: int, steps: int, tolerance: float) -> DataFrame:
-    """key, documents, source_size, target, mean, lam: the dual solution of each source."""
+def _step(histogram: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """One safeguarded Newton step of every source at once: Newton's point if it is within the bracket, else the bracket's middle."""
+    z = F.col("size") / F.col("mean")
+    free = F.exp(F.least(F.col("lam") * z, F.lit(700.0)))
+    value = F.sum(F.col("n") * F.least(free, F.lit(float(most))) * z)
+    slope = F.sum(F.col("n") * F.when(free < most, free * z * z).otherwise(0.0))
+    kept = [c for c in state.columns if c not in ("key", "gap")]
+    sums = histogram.join(state.drop("gap"), "key").groupBy("key", *kept).agg(value.alias("value"), slope.alias("slope"))
+    error = F.col("value") - F.col("wanted")
+    low = F.when(error < 0, F.col("lam")).otherwise(F.col("low"))
+    high = F.when(error > 0, F.col("lam")).otherwise(F.col("high"))
+    newton = F.when(F.col("slope") > 0, F.col("lam") - error / F.col("slope"))
+    inside = newton.isNotNull() & (newton > low) & (newton < high)
+    nxt = F.when(error == 0, F.col("lam")).when(inside, newton).otherwise((low + high) / 2)
+    gap = F.abs(error) / F.greatest("wanted", F.lit(1e-9))
+    return sums.select("key", "mean", "wanted", nxt.alias("lam"), low.alias("low"), high.alias("high"), gap.alias("gap"))
+
+
+def tilt(sized: DataFrame, targets: DataFrame, most: int, tolerance: float) -> DataFrame:
+    """key, documents, source_size, target, mean, lam: the dual solution of each source.
+
+    Steps go on until every source is within ``tolerance`` of its target, or its
+    bracket is too narrow for another number between its ends.
+    """
     histogram = materialise(sized.where("size > 0").groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")))
-    state = targets.withColumn("mean", F.greatest(F.col("source_size") / F.col("documents"), F.lit(1e-9)))
-    state = state.withColumns({"lam": F.lit(0.0), "low": F.lit(-700.0), "high": F.col("mean") * 2.0 + 1.0, "gap": F.lit(1.0)})
-    columns = state.columns
-    state = materialise(state)
-    for _ in range(steps):
-        z = F.col("size") / F.col("mean")
-        free = F.exp(F.least(F.col("lam") * z, F.lit(700.0)))
-        value = F.sum(F.col("n") * F.least(free, F.lit(float(most))) * z)
-        slope = F.sum(F.col("n") * F.when(free < most, free * z * z).otherwise(0.0))
-        kept = [c for c in columns if c != "key"]
-        sums = histogram.join(state, "key").groupBy("key", *kept).agg(value.alias("value"), slope.alias("slope"))
-        wanted = F.col("target") / F.col("mean")
-        error = F.col("value") - wanted
-        low = F.when(error < 0, F.col("lam")).otherwise(F.col("low"))
-        high = F.when(error > 0, F.col("lam")).otherwise(F.col("high"))
-        newton = F.when(F.col("slope") > 0, F.col("lam") - error / F.col("slope"))
-        inside = newton.isNotNull() & (newton > low) & (newton < high)
-        nxt = F.when(error == 0, F.col("lam")).when(inside, newton).otherwise((low + high) / 2)
-        gap = F.abs(error) / F.greatest(wanted, F.lit(1e-9))
-        state = materialise(sums.select("key", "documents", "source_size", "target", "mean", nxt.alias("lam"), low.alias("low"), high.alias("high"), gap.alias("gap")))
-        worst = state.agg(F.max("gap")).first()[0]
-        if worst is None or worst <= tolerance:
+    mean = F.greatest(F.col("source_size") / F.col("documents"), F.lit(1e-9))
+    # Beyond the ends all rates of texts with words are 0, or all at the ceiling.
+    state = targets.select("key", mean.alias("mean"), (F.col("target") / mean).alias("wanted"), F.lit(0.0).alias("lam"), (-700.0 * mean).alias("low"), (mean * (math.log(most) + 1) + 1).alias("high"))
+    open_ = F.col("high") - F.col("low") > F.greatest(F.abs("low"), F.abs("high")) * 1e-15
+    while True:
+        for _ in range(STEPS):
+            state = _step(histogram, state, most)
+        state = materialise(state)
+        if state.where((F.col("gap") > tolerance) & open_).isEmpty():
             break
     return targets.join(state.select("key", "mean", "lam"), "key", "left").withColumns({"mean": F.coalesce("mean", F.lit(1.0)), "lam": F.coalesce("lam", F.lit(0.0))})
 
@@ -104,7 +117,7 @@ def rate(most: int) -> Column:
 def _cell(doc_id: str) -> Column:
     """The place of a document in its source's rounding order, as one of CELLS * CELLS cells; CELLS * CELLS if it has no fraction."""
     part = F.col("rate") - F.floor("rate")
-    priority = unit_hash(F.col(doc_id), F.col("key")) / part
+    priority = unit_hash(F.col(doc_id), F.col("key"), F.col("of_text")) / part
     return F.when(part > 0, F.floor(priority / (priority + 1) * float(CELLS * CELLS))).otherwise(CELLS * CELLS).cast("long")
 
 
@@ -115,11 +128,17 @@ def _cut(cells: DataFrame, label: str) -> DataFrame:
     return sums.where(F.col("upto") >= F.col("left")).groupBy("key").agg(F.min_by(F.struct(label, "before", "words"), label).alias("at")).select("key", F.col(f"at.{label}").alias(label), F.col("at.before").alias("before"), F.col("at.words").alias("words"))
 
 
-def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, steps: int = 40, tolerance: float = 1e-9) -> tuple[DataFrame, DataFrame]:
+def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, tolerance: float = 1e-9) -> tuple[DataFrame, DataFrame]:
     """(sized documents, sources): all that :func:`copies` needs, as written tables."""
-    sized = materialise(docs.select(F.col(doc_id).alias("doc_id"), source_key(F.col(source)).alias("key"), words_in(F.col(text)).alias("size")))
+    spark = docs.sparkSession
+    with scratch(spark):
+        return _planned(docs, doc_id, text, source, weights, share, most, tolerance)
+
+
+def _planned(docs: DataFrame, doc_id: str, text: str, source: str, weights: Sequence[int], share: float, most: int, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    sized = materialise(docs.select(F.col(doc_id).alias("doc_id"), source_key(F.col(source)).alias("key"), words_in(F.col(text)).alias("size"), F.xxhash64(text).alias("of_text")), outlive=True)
     targets = materialise(source_targets(sized, weights, share, most))
-    tilted = materialise(tilt(sized, targets, most, steps, tolerance))
+    tilted = materialise(tilt(sized, targets, most, tolerance))
     rated = sized.where("size > 0").join(tilted, "key").withColumn("rate", rate(most)).withColumn("cell", _cell("doc_id"))
     whole = rated.groupBy("key").agg(F.sum(F.floor("rate") * F.col("size")).alias("sure"))
     left = materialise(tilted.join(whole, "key", "left").withColumn("left", F.col("target") - F.coalesce("sure", F.lit(0))).select("key", "left"))
@@ -128,11 +147,11 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
     first = materialise(_cut(coarse, "upper").select("key", "upper", F.col("before").alias("sum_before")).join(left, "key").withColumn("left", F.col("left") - F.col("sum_before")).select("key", "upper", "left"))
     fine = open_.join(first, "key").where(F.floor(F.col("cell") / CELLS) == F.col("upper")).groupBy("key", "cell", "left").agg(F.sum("size").alias("words"))
     second = _cut(fine, "cell").join(first, "key").select("key", F.when(F.col("left") - F.col("before") >= F.col("words") / 2, F.col("cell")).otherwise(F.col("cell") - 1).alias("cut"))
-    return sized, materialise(tilted.join(second, "key", "left").withColumn("cut", F.coalesce("cut", F.when(F.col("target") > 0, F.lit(CELLS * CELLS - 1)).otherwise(F.lit(-1)))))
+    return sized, materialise(tilted.join(second, "key", "left").withColumn("cut", F.coalesce("cut", F.when(F.col("target") > 0, F.lit(CELLS * CELLS - 1)).otherwise(F.lit(-1)))), outlive=True)
 
 
 def copies(sized: DataFrame, sources: DataFrame, *, most: int = 2) -> DataFrame:
-    """``sized`` (doc_id, key, size and any others) with its source's columns and ``copies``."""
+    """``sized`` (doc_id, key, size, of_text and any others) with its source's columns and ``copies``."""
     rated = sized.join(sources, "key").withColumn("rate", rate(most)).withColumn("cell", _cell("doc_id"))
     return rated.withColumn("copies", (F.floor("rate") + F.when((F.col("size") > 0) & (F.col("cell") <= F.col("cut")), 1).otherwise(0)).cast("int"))
 
@@ -149,6 +168,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     _, sources = plan_mix(docs, **options)
     names = {k: options.get(k, k) for k in ("doc_id", "text", "source")}
     held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    sized = held.select("row", F.col(f"row.{names['doc_id']}").alias("doc_id"), source_key(F.col(f"row.{names['source']}")).alias("key"), words_in(F.col(f"row.{names['text']}")).alias("size"))
+    sized = held.select("row", F.col(f"row.{names['doc_id']}").alias("doc_id"), source_key(F.col(f"row.{names['source']}")).alias("key"), words_in(F.col(f"row.{names['text']}")).alias("size"), F.xxhash64(f"row.{names['text']}").alias("of_text"))
     out = copies(sized, sources, most=options.get("most", 2)).select("row", "copies").where("copies > 0")
     return out.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm import simhash
-from waymark.llm.common import materialise, short_batches
+from waymark.llm.common import materialise, scratch, short_batches
 
 BANDS, ROWS = 20, 5
 #: Standard deviations by which the share of equal minimum hashes may stay below ``least``.
@@ -170,16 +170,10 @@ def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     texts stay or go each with its own near copies, and of those with the same text
     one stays.  Null texts and texts without words are copies of each other.
     """
-    mark = "_text_hash"
-    rows = materialise(sketches(docs.where(F.col(doc_id).isNotNull()), doc_id=doc_id, text=text, shingle=shingle))
-    by_row = rows.groupBy("doc_id", "of_text").agg(F.first("node").alias("node"), F.count(F.lit(1)).alias("copies"))
-    by_node = materialise(by_row.groupBy("node").agg(F.min(F.struct("doc_id", "of_text", "copies")).alias("first")))
-    named = by_node.join(components(rows, least=least), "node", "left")
-    kept = materialise(named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first.*"))
-    held = docs.where(F.col(doc_id).isNotNull()).withColumn(mark, F.xxhash64(text))
-    # Both sides are dealt by id whatever their size: the ids that stay grow with the documents.
-    which = lambda how: kept.where(how).select(F.col("doc_id").alias(doc_id), F.col("of_text").alias(mark)).hint("shuffle_merge")
-    once = held.join(which("copies = 1"), [doc_id, mark], "left_semi")
-    again = held.join(which("copies > 1"), [doc_id, mark], "left_semi")
-    again = again.groupBy(doc_id, mark).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return once.select(*docs.columns).unionByName(again.select(*docs.columns)).unionByName(docs.where(F.col(doc_id).isNull()))
+    with scratch(docs.sparkSession):
+        rows = materialise(sketches(docs.where(F.col(doc_id).isNotNull()), doc_id=doc_id, text=text, shingle=shingle))
+        by_row = rows.groupBy("doc_id", "of_text").agg(F.first("node").alias("node"), F.count(F.lit(1)).alias("copies"))
+        by_node = materialise(by_row.groupBy("node").agg(F.min(F.struct("doc_id", "of_text", "copies")).alias("first")))
+        named = by_node.join(components(rows, least=least), "node", "left")
+        kept = materialise(named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first.*"), outlive=True)
+    return simhash.kept_rows(docs, kept, doc_id, text)

@@ -11,7 +11,10 @@ share of good documents.
 Null and empty texts have the statistics of an empty text and get its score.  A
 text with several labels is good if one says so; null labels are ignored.
 Without labels of both kinds every score is the share of good labels (0 without
-labels).  Constant statistics count for nothing.
+labels).  Constant statistics count for nothing.  Long texts are described whole;
+repeated rows are learnt from, and come out, as often as they went in; equal ridge
+scores share a bin and a score; an empty table gives an empty one.  Other columns of
+``docs`` pass through :func:`with_scores` and are left out by :func:`score_documents`.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import annotated, fold, materialise, short_batches
+from waymark.llm.common import annotated, fold, materialise, scratch, short_batches
 
 FEATURES, BANDWIDTH, RIDGE, SEED = 256, 3.0, 1.0, 11
 #: Bins of ridge scores from -0.5 to 1.5 for the calibration.
@@ -151,7 +154,8 @@ def apply(model: dict, stats: np.ndarray) -> np.ndarray:
 def _trained(rows: DataFrame, labels: DataFrame, label: str) -> dict:
     """The model from described rows (doc_id, stats) and labels outside the held-out fold."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    return fit(materialise(rows.join(known.where(~fold("doc_id", 4, 2)), "doc_id").select("stats", "y")))
+    with scratch(rows.sparkSession):
+        return fit(materialise(rows.join(known.where(~fold("doc_id", 4, 2)), "doc_id").select("stats", "y")))
 
 
 def with_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", name: str = "score") -> DataFrame:
@@ -160,7 +164,8 @@ def with_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
     Texts are described twice, once to learn and once to score, so that they need
     not be shuffled to meet their scores.
     """
-    model = _trained(materialise(described(docs, doc_id=doc_id, text=text)), labels, label)
+    with scratch(docs.sparkSession):
+        model = _trained(materialise(described(docs, doc_id=doc_id, text=text)), labels, label)
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def scorer():

@@ -4,8 +4,8 @@ Two 64-bit fingerprints that differ in at most ``2 * half`` bits have a common
 variant within ``half`` flipped bits of each, and two fingerprints that share
 such a variant differ in at most ``2 * half`` bits.  So every distinct
 fingerprint stands for all its variants, rows are shuffled on the variant, and
-whatever meets on a variant is linked: collisions need no further distance test,
-though :func:`components` verifies nothing less.
+whatever meets on a variant is linked: to meet is to be within the distance, so
+collisions need no further test.
 
 A variant is not written out before the shuffle.  Rows go to a bucket, the low
 ``b`` bits of the variant, once per bucket that some of their variants fall in
@@ -17,7 +17,13 @@ links are chained along equal variants and contracted to at most one per
 fingerprint, so no group ever expands into all its pairs.
 
 Documents with equal fingerprints meet once, as one node.  Components are found
-by alternating large-star and small-star steps over the remaining links.
+by alternating large-star and small-star steps over the remaining links, until a
+step changes nothing.
+
+Null texts and texts without words have fingerprint 0 and are linked like any other;
+long texts are taken whole; repeated rows come out as often as they went in; an empty
+table gives an empty one; columns beyond the two named are not read (and stay, in
+:func:`deduplicated`).
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import materialise, short_batches
+from waymark.llm.common import fresh, materialise, scratch, short_batches
 
 #: Variants that one task expands.
 TASK_VARIANTS = 1 << 21
@@ -91,15 +97,15 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, tables: int = 1) -> DataFrame:
-    """doc_id, fp (as a signed long), more (those of further tables): one row per row of ``docs``, over whole texts."""
+    """doc_id, of_text (a hash of it), fp (as a signed long), more (those of further tables): one row per row of ``docs``, over whole texts."""
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint_tables(t.as_py(), shingle, tables) for t in batch.column(1)], np.uint64).reshape(-1, tables).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))], ["doc_id", "fp", "more"])
+            found = np.array([fingerprint_tables(t.as_py(), shingle, tables) for t in batch.column(2)], np.uint64).reshape(-1, tables).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found[:, 0]), pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))], ["doc_id", "of_text", "fp", "more"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long, more array<long>")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("of_text"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, of_text long, fp long, more array<long>")
 
 
 def _flips(bits: range, most: int) -> list[int]:
@@ -183,24 +189,25 @@ def links(distinct: DataFrame, *, half: int = 2, task_variants: int = TASK_VARIA
     """u, v: links between distinct fingerprints (column ``fp``) whose components are those of the ball graph."""
     per_row = len(_flips(range(64), half))
     n = distinct.count()
-    bits = min(24, max(LEAST_BITS, math.ceil(math.log2(max(1, n * per_row * 2 / task_variants)))))
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(1, n * per_row * 2 / task_variants))))
     low = (1 << bits) - 1
     flips = _flips(range(bits), half)
     weights = [math.comb(64 - bits, 0) + sum(math.comb(64 - bits, k) for k in range(1, half - f.bit_count() + 1)) for f in flips]
     pairs = F.array(*[F.struct(F.lit(f).cast("long").alias("flip"), F.lit(w).cast("long").alias("weight")) for f, w in zip(flips, weights)])
     sent = distinct.select("fp", F.explode(pairs).alias("to")).select("fp", F.col("fp").bitwiseAND(_signed(low)).bitwiseXOR(F.col("to.flip")).alias("bucket"), F.col("to.weight").alias("weight"))
     # Only buckets beyond a task's share are listed: at most n * per_row / task_variants of them.
-    heavy = materialise(sent.groupBy("bucket").agg(F.sum("weight").alias("load")).where(F.col("load") > task_variants).select("bucket", F.least(F.ceil(F.log2(F.col("load") / task_variants)), F.lit(24)).cast("int").alias("split")))
+    heavy = materialise(sent.groupBy("bucket").agg(F.sum("weight").alias("load")).where(F.col("load") > task_variants).select("bucket", F.ceil(F.log2(F.col("load") / task_variants)).cast("int").alias("split")))
     dealt = sent.drop("weight").join(heavy, "bucket", "left").withColumn("split", F.coalesce("split", F.lit(0)))
-    dealt = dealt.withColumn("part", F.explode(F.expr("sequence(0, shiftleft(1, split) - 1)")))
+    dealt = dealt.withColumn("part", F.explode(F.expr("sequence(0L, shiftleft(1L, split) - 1)")))
     return dealt.groupBy("bucket", "part", "split").applyInArrow(_bucket_links(bits, half), "u long, v long")
 
 
-def connect(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
+def connect(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node on an edge (u, v)."""
     edges = materialise(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
-    for _ in range(most_rounds):
+    mark, seen = None, ()
+    while seen != mark:
+        mark = seen
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -209,9 +216,6 @@ def connect(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialise(small.union(least.select("u", "m")).toDF("u", "v").where("u != v").distinct())
         seen = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if seen == mark:
-            break
-        mark = seen
     return edges.toDF("node", "root")
 
 
@@ -229,32 +233,53 @@ def _linked(rows: DataFrame, nodes: DataFrame, tables: int, half: int, task_vari
     return edges
 
 
+def _rooted(docs: DataFrame, *, doc_id: str, text: str, shingle: int, half: int, tables: int, task_variants: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, of_text, fp: the rows), (fp, root, component_id: the distinct fingerprints), as written tables."""
+    spark = docs.sparkSession
+    with scratch(spark):
+        rows = materialise(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, tables=tables), outlive=True)
+        nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+        joined = materialise(connect(_linked(rows, nodes, tables, half, task_variants)).join(nodes.withColumnRenamed("fp", "node"), "node"))
+        own = joined.groupBy("root").agg(F.min("first_id").alias("first_id")).join(nodes.toDF("root", "root_id"), "root")
+        of_root = own.select("root", F.least("first_id", "root_id").alias("component_id"))
+        linked = joined.join(of_root, "root").select(F.col("node").alias("fp"), "root", "component_id").union(of_root.select("root", "root", "component_id").toDF("fp", "root", "component_id"))
+        named = materialise(nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first_id").alias("component_id")), outlive=True)
+    return rows, named
+
+
 def components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, half: int = 2, tables: int = 1, task_variants: int = TASK_VARIANTS) -> DataFrame:
     """doc_id, fp, component_id: one row per row of ``docs``.
 
     Rows are linked whose fingerprints differ in ``2 * half`` bits or fewer in any
     of the ``tables``; component_id is the smallest id reachable, the row's own
-    included, null ids apart.  Null texts and texts without words have fingerprint 0
-    and are linked like any other.  Repeated rows come out as often as they went in.
+    included, null ids apart.
     """
-    rows = materialise(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, tables=tables))
-    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    joined = materialise(connect(_linked(rows, nodes, tables, half, task_variants)).join(nodes.withColumnRenamed("fp", "node"), "node"))
-    own = joined.groupBy("root").agg(F.min("first_id").alias("first_id")).join(nodes.toDF("root", "root_id"), "root")
-    of_root = own.select("root", F.least("first_id", "root_id").alias("component_id"))
-    linked = joined.join(of_root, "root").select(F.col("node").alias("fp"), "component_id").union(of_root.toDF("fp", "component_id"))
-    named = materialise(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    rows, named = _rooted(docs, doc_id=doc_id, text=text, shingle=shingle, half=half, tables=tables, task_variants=task_variants)
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with the row of the smallest id of each component, and one of rows that repeat an id; rows without an id stay."""
-    kept = components(docs, doc_id=doc_id, **options).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    kept = materialise(kept)
-    held = docs.where(F.col(doc_id).isNotNull())
+def kept_rows(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (doc_id, of_text, copies), one of several that have the same id and text; rows without an id stay."""
+    mark = fresh("of_text", docs.columns)
+    held = docs.where(F.col(doc_id).isNotNull()).withColumn(mark, F.xxhash64(text))
     # Both sides are dealt by id whatever their size: the ids that stay grow with the documents.
-    named = lambda which: kept.where(which).select(F.col("doc_id").alias(doc_id)).hint("shuffle_merge")
-    once = held.join(named("copies = 1"), doc_id, "left_semi")
-    again = held.join(named("copies > 1"), doc_id, "left_semi")
-    again = again.groupBy(doc_id).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    which = lambda how: kept.where(how).select(F.col("doc_id").alias(doc_id), F.col("of_text").alias(mark)).hint("shuffle_merge")
+    once = held.join(which("copies = 1"), [doc_id, mark], "left_semi")
+    again = held.join(which("copies > 1"), [doc_id, mark], "left_semi")
+    again = again.groupBy(doc_id, mark).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.select(*docs.columns).unionByName(again.select(*docs.columns)).unionByName(docs.where(F.col(doc_id).isNull()))
+
+
+def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, half: int = 2, tables: int = 1, task_variants: int = TASK_VARIANTS) -> DataFrame:
+    """``docs`` with the row of the smallest id of each component; rows without an id stay.
+
+    Rows count by their id and text: of rows that share an id, those of different
+    texts stay or go each with its own near copies, and of those with the same text
+    one stays.
+    """
+    with scratch(docs.sparkSession):
+        rows, named = _rooted(docs.where(F.col(doc_id).isNotNull()), doc_id=doc_id, text=text, shingle=shingle, half=half, tables=tables, task_variants=task_variants)
+        by_row = rows.groupBy("doc_id", "of_text").agg(F.first("fp").alias("fp"), F.count(F.lit(1)).alias("copies"))
+        by_fp = by_row.groupBy("fp").agg(F.min(F.struct("doc_id", "of_text", "copies")).alias("first"))
+        kept = materialise(by_fp.join(named, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*"), outlive=True)
+    return kept_rows(docs, kept, doc_id, text)

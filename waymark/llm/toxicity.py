@@ -1,26 +1,37 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled texts.  The ordinary one is
-trained on stretches of ordinary texts.  The toxic one is not trained, as training on
-toxic texts found few of them (README); it holds the same and, after that,
-the passages that toxic texts repeat in many different surroundings and ordinary
-ones do not: word beginnings whose count of distinct neighbours is ``CONTRAST``
-times that of ordinary texts.  Counting neighbours, not documents, keeps copies of
-one text from looking like a habit.  A word beginning with fewer than
-``LEAST_CONTEXTS`` such neighbours is not taken; of the others all are, up to
-``DICTIONARY_BYTES``.  Punctuation around words is left out.  Every text is cut into overlapping windows of
-a few words, each window is compressed with either dictionary, and the bytes that
-the toxic one saves are its distance.  A logistic curve over the largest saving
-and the counts of windows beyond two thresholds is the calibrated score; it is
-fitted on windows scored by a dictionary that has not seen their text (two
-halves of the sample, crosswise).
-
-The dictionaries are fitted on a bounded sample: ``TOXIC_SAMPLE`` toxic and
-``ORDINARY_SAMPLE`` ordinary labelled texts, those of the smallest hashes.  Null
-and empty texts have no windows, hence no savings, and get the score of a text
-without any.  A text with several labels is toxic if one says so; null labels
-are ignored.  Without both kinds of labels every score is the share of toxic
-labels (0 without labels).
+Two zstandard dictionaries are trained on labelled texts.  The ordinary one is
+trained on stretches of ordinary texts.  The toxic one is trained on those words of
+toxic texts whose beginnings tell, and telling beginnings that training leaves out (as it does
+where there is little to train on) are put before it: a beginning tells if it stands between more than
+``CONTRAST`` times as many distinct pairs of neighbours, per word, as in ordinary
+texts, and between ``LEAST_CONTEXTS`` at least.  (Trained on all of the toxic texts,
+it found a tenth of them: they share nearly all their words with ordinary ones.)
+Counting neighbours, not documents, keeps copies of one text from looking like a
+habit.  On the toxic side the toxic dictionary stands before the ordinary one, so a
+word that the ordinary one covers costs the same on both sides, at the same offsets.
+
+Every text is cut into overlapping windows of a few words, without the punctuation
+around them; each window is compressed on either side, and the bytes that the toxic
+side saves are its distance.  Windows begin with a preamble of all byte values, which
+both dictionaries end with: it costs one match, and makes the parser price a literal
+at the eight bits that it takes in so short a window.
+
+Thresholds are calibrated on ordinary texts: for each of ``ALARM_RATES``, the least
+saving that no larger share of their windows reaches.  A logistic curve over the
+largest saving and the windows beyond each threshold is the score.  Thresholds and
+curve are fitted crosswise, each half of the sample with the dictionaries of the other.
+
+The fit takes a bounded sample: at most ``TOXIC_SAMPLE`` toxic and ``ORDINARY_SAMPLE``
+ordinary labelled texts, those of the smallest hashes, of no more than ``LONGEST``
+characters each; it does not depend on the order of rows.  Every text is scored
+whole, however long.  Null and empty texts and those without words have no windows,
+and get the score of a text without savings.  Repeated rows come out as often as they
+went in, each with the same score; of texts that share an id the smallest is learnt
+from.  A text with several labels is toxic if one says so; null labels are ignored.
+Without both kinds of labels every score is the share of toxic labels (0 without
+labels).  An empty table gives an empty one.  Other columns of ``docs`` pass through
+:func:`with_scores` and are left out by :func:`score_documents`.
 """
 
 from __future__ import annotations
@@ -36,16 +47,17 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import annotated, fitted, fold
 
-TOXIC_SAMPLE, ORDINARY_SAMPLE = 1000, 2000
+TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
+#: Characters of a text of the sample.
+LONGEST = 50_000
 #: Words of a window, and from one window's start to the next.
-WINDOW, STEP = 6, 4
+WINDOW, STEP = 4, 3
 CONTRAST, LEAST_CONTEXTS = 12.0, 6
-#: Of the ordinary dictionary, and of the word beginnings.
-DICTIONARY_BYTES = 30_000
-#: Savings, in bytes, from which a window counts.
-THRESHOLDS = (2, 3)
-#: After the word beginnings: zstandard indexes no place with fewer than eight bytes behind it, and a match there needs its whole length.
-PADDING = b" " * 16
+#: Bytes of either dictionary at most.
+ORDINARY_BYTES, TOXIC_BYTES = 30_000, 8_192
+#: Shares of ordinary windows that a threshold lets pass.
+ALARM_RATES = (0.03, 0.01, 0.003, 0.001, 0.0003)
+PREAMBLE = bytes(range(256))
 EDGE = ".,!?;:|*#$%&\"'()[]"
 
 
@@ -58,23 +70,23 @@ def _beginnings(word: str) -> list[str]:
 
 
 def _contexts(texts: Sequence[str], wanted: dict[str, list[str]]) -> dict[str, int]:
-    """For each stem of ``wanted`` (stems by word): how many pairs of neighbours it stands between."""
+    """For each beginning of ``wanted`` (beginnings by word): how many pairs of neighbours it stands between."""
     seen = defaultdict(set)
     for text in texts:
-        words = ["", *text.lower().split(), ""]
+        words = ["", *_words(text), ""]
         for before, word, after in zip(words, words[1:], words[2:]):
-            for stem in wanted.get(word.strip(EDGE), ()):
-                seen[stem].add(hash((before, after)))
+            for stem in wanted.get(word, ()):
+                seen[stem].add((before, after))
     return {k: len(v) for k, v in seen.items()}
 
 
-def stems(toxic: Sequence[str], ordinary: Sequence[str]) -> list[str]:
-    """Word beginnings that mark toxic texts, the rarest first, without those that another stands for.
+def telling(toxic: Sequence[str], ordinary: Sequence[str]) -> dict[str, int]:
+    """Word beginnings that mark toxic texts, with the number of pairs of neighbours that each stands between.
 
     Plain counts narrow the choice down; only what is left is counted by neighbours.
     """
     mine, other = (Counter(w for text in texts for w in _words(text)) for texts in (toxic, ordinary))
-    n, m = max(1, sum(mine.values())), max(1, sum(other.values()))
+    n, m = max(1, mine.total()), max(1, other.total())
     count: Counter = Counter()
     for word, k in mine.items():
         for stem in _beginnings(word):
@@ -88,56 +100,77 @@ def stems(toxic: Sequence[str], ordinary: Sequence[str]) -> list[str]:
     likely = {s for s, k in count.items() if k / n > CONTRAST / 3 * against[s] / m}
     wanted = {w: hit for w in {*mine, *other} if (hit := [s for s in _beginnings(w) if s in likely])}
     between, beside = _contexts(toxic, wanted), _contexts(ordinary, wanted)
-    good = {s: c for s, c in between.items() if c >= LEAST_CONTEXTS and c / n > CONTRAST * (beside.get(s, 0) + 1) / m}
-    fullest = {s: c for s, c in good.items() if not any(t != s and t.startswith(s) and d >= 0.9 * c for t, d in good.items())}
-    short = [s for s in fullest if not any(t != s and s.startswith(t) for t in fullest)]
-    short = sorted(short, key=lambda s: (fullest[s], s), reverse=True)
-    ends = np.cumsum([len(s.encode("utf-8", "replace")) for s in short])
-    return short[: int(np.searchsorted(ends, DICTIONARY_BYTES, side="right"))][::-1]
+    return {s: c for s, c in between.items() if c >= LEAST_CONTEXTS and c / n > CONTRAST * (beside.get(s, 0) + 1) / m}
 
 
-def ordinary_dictionary(texts: Sequence[str]) -> bytes:
+def _trained(samples: list[bytes], size: int, d: int, k: int) -> bytes:
+    """The content of a dictionary that zstandard trains; the samples' own bytes where they are too few to train on."""
     import zstandard
 
+    try:
+        return zstandard.train_dictionary(size, samples, d=d, k=k, split_point=1.0).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
+
+
+def ordinary_dictionary(texts: Sequence[str]) -> bytes:
     pieces = []
     for text in texts:
         flat = " ".join(_words(text)).encode("utf-8", "replace")
         pieces += [flat[k : k + 64] for k in range(0, len(flat), 128)]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES + 2048, pieces, d=8, k=64, split_point=1.0).as_bytes()[-DICTIONARY_BYTES:]
-    except zstandard.ZstdError:  # too little text to train on: the text itself
-        return b" ".join(pieces)[-DICTIONARY_BYTES:]
+    return _trained(pieces, ORDINARY_BYTES, 8, 64)
 
 
-def toxic_dictionary(ordinary: bytes, beginnings: Sequence[str]) -> bytes:
-    return ordinary + "".join(beginnings).encode("utf-8", "replace") + PADDING
+def toxic_dictionary(toxic: Sequence[str], ordinary: Sequence[str]) -> bytes:
+    """Trained on the telling words, after the telling beginnings that training left out, the commonest last."""
+    found = telling(toxic, ordinary)
+    pieces = ["".join(f" {w} " for w in _words(text) if not found.keys().isdisjoint(_beginnings(w))) for text in toxic]
+    content = _trained([p.encode("utf-8", "replace") for p in pieces if p], TOXIC_BYTES, 6, 24)
+    missing, room = [], TOXIC_BYTES - len(content)
+    for stem in sorted(found, key=lambda s: (-found[s], s)):
+        raw = stem.encode("utf-8", "replace")
+        if len(raw) <= room and raw not in content and not any(raw in other for other in missing):
+            missing.append(raw)
+            room -= len(raw)
+    return b"".join(reversed(missing)) + content
 
 
 @lru_cache(maxsize=4)
 def compressor(content: bytes):
-    """Matches of five bytes and more only (a blank and a word of four): shorter ones are noise in so short windows.  The hash table is wide, so that no passage of the dictionary hides another."""
+    """An optimal parser, as a greedy one makes other choices when something is added that it does not use; matches of six bytes (a blank, a word of four, a blank) and more."""
     import zstandard as z
 
-    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, min_match=5, strategy=z.STRATEGY_FAST, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
-    held = z.ZstdCompressionDict(content or b" " * 8, dict_type=z.DICT_TYPE_RAWCONTENT)
+    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, chain_log=18, search_log=4, target_length=32, min_match=6, strategy=z.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
+    held = z.ZstdCompressionDict(content + PREAMBLE, dict_type=z.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=parameters)
     return z.ZstdCompressor(dict_data=held, compression_params=parameters)
 
 
-def savings(text: str | None, ordinary: bytes, toxic: bytes) -> np.ndarray:
-    """Bytes that the toxic dictionary saves over the ordinary one, for each window of the whole text."""
+def windows(text: str | None) -> list[bytes]:
     words = [w.encode("utf-8", "replace") for w in _words(text or "")]
-    plain, other = compressor(ordinary).compress, compressor(toxic).compress
-    windows = [b" " + b" ".join(words[k : k + WINDOW]) + b" " for k in range(0, max(1, len(words) - WINDOW + STEP), STEP)] if words else []
-    return np.fromiter((len(plain(w)) - len(other(w)) for w in windows), np.int64, len(windows))
+    return [b" " + b" ".join(words[k : k + WINDOW]) + b" " for k in range(0, max(1, len(words) - WINDOW + STEP), STEP)] if words else []
+
+
+def savings(text: str | None, ordinary: bytes, toxic: bytes) -> np.ndarray:
+    """Bytes that the toxic dictionary saves beside the ordinary one, for each window of the whole text."""
+    plain, other = compressor(ordinary).compress, compressor(toxic + ordinary).compress
+    found = [PREAMBLE + w for w in windows(text)]
+    return np.fromiter((len(plain(w)) - len(other(w)) for w in found), np.int64, len(found))
+
+
+def thresholds(ordinary: np.ndarray) -> list[int]:
+    """For each of ALARM_RATES the least saving, above the threshold before, that at most this share of ordinary windows reaches."""
+    at_least = np.append(np.bincount(np.maximum(ordinary, 0), minlength=2)[::-1].cumsum()[::-1], 0)
+    found = [0]
+    for rate in ALARM_RATES:
+        found.append(max(found[-1] + 1, int(np.argmax(at_least <= rate * len(ordinary)))))
+    return found[1:]
 
 
-def features(saved: np.ndarray) -> list[float]:
-    if not len(saved):
-        return [0.0] * 5
-    low, high = ((saved >= t).sum() for t in THRESHOLDS)
-    # Long texts reach a saving by chance more often, so the length is a feature too.
-    return [float(max(saved.max(), 0)), float(np.log1p(low)), float(np.log1p(high)), float(high / len(saved)), float(np.log1p(len(saved)))]
+def features(saved: np.ndarray, levels: Sequence[int]) -> list[float]:
+    # Long texts reach a saving by chance more often, so the length and the share of windows are features too.
+    beyond = [int((saved >= t).sum()) for t in levels]
+    return [float(min(max(saved.max(initial=0), 0), 16)), *(float(np.log1p(k)) for k in beyond), *((k + 0.2) / (len(saved) + 5) for k in beyond[::2]), float(np.log1p(len(saved)))]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 50) -> np.ndarray:
@@ -168,33 +201,35 @@ def fit(rows: Sequence[tuple[str | None, int]]) -> dict:
     toxic, ordinary = ([t for t, y in rows if y == k] for k in (1, 0))
     if not toxic or not ordinary:
         return {"constant": float(bool(toxic))}
-    plain = ordinary_dictionary(ordinary)
-    make = lambda a, b: toxic_dictionary(plain, stems(a, b))
-    x, y = [], []
+    make = lambda a, b: (ordinary_dictionary(b), toxic_dictionary(a, b))
+    saved, y = [], []
     for half in (0, 1):
-        whole = make(toxic[1 - half :: 2] or toxic, ordinary[1 - half :: 2] or ordinary)
+        pair = make(toxic[1 - half :: 2] or toxic, ordinary[1 - half :: 2] or ordinary)
         for label, texts in ((1, toxic[half::2]), (0, ordinary[half::2])):
-            x += [features(savings(t, plain, whole)) for t in texts]
+            saved += [savings(t, *pair) for t in texts]
             y += [label] * len(texts)
-    return {"plain": plain, "toxic": make(toxic, ordinary), "beta": logistic(np.array(x), np.array(y, float))}
+    levels = thresholds(np.concatenate([s for s, label in zip(saved, y) if not label]))
+    beta = logistic(np.array([features(s, levels) for s in saved]), np.array(y, float))
+    return {"pair": make(toxic, ordinary), "levels": levels, "beta": beta}
 
 
 def score(model: dict, text: str | None) -> float:
     if "constant" in model:
         return model["constant"]
-    z = float(np.dot([*features(savings(text, model["plain"], model["toxic"])), 1.0], model["beta"]))
+    z = float(np.dot([*features(savings(text, *model["pair"]), model["levels"]), 1.0], model["beta"]))
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, *, doc_id: str, text: str, bound: dict[int, int]) -> DataFrame:
     """order, doc_id, text, y: at most bound[y] documents of each label y, those of the smallest hashes, outside the held-out fold."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    known = known.where(~fold("doc_id", 4, 2)).join(docs.select(F.col(doc_id).cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    fit_for = docs.where(F.coalesce(F.length(text), F.lit(0)) <= LONGEST)
+    known = known.where(~fold("doc_id", 4, 2)).join(fit_for.select(F.col(doc_id).cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     picked = None
     for y, most in bound.items():
         some = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = some if picked is None else picked.union(some)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id")  # at most sum(bound) rows of two numbers
+    texts = fit_for.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id")  # at most sum(bound) rows of two numbers
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).select(F.xxhash64("doc_id").alias("order"), "doc_id", "text", "y")
 
 
