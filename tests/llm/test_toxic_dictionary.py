@@ -56,14 +56,14 @@ def test_savings_equal_plain_compression_of_every_window(pair):
 
     def length(content: bytes, window: bytes) -> int:
         p = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, chain_log=18, search_log=4, target_length=32, min_match=6, strategy=z.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
-        held = z.ZstdCompressionDict(content + bytes(range(256)), dict_type=z.DICT_TYPE_RAWCONTENT)
+        held = z.ZstdCompressionDict(content + bytes(range(160, 256)), dict_type=z.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=p)
-        return len(z.ZstdCompressor(dict_data=held, compression_params=p).compress(bytes(range(256)) + window))
+        return len(z.ZstdCompressor(dict_data=held, compression_params=p).compress(bytes(range(160, 256)) + window))
 
     ordinary, toxic = pair
     text = "One two, THREE (scum) four five six seven eight idiot nine."
     words = "one two three scum four five six seven eight idiot nine".split()
-    windows = [f" {' '.join(words[k : k + 4])} ".encode() for k in (0, 3, 6, 9)]
+    windows = [f" {' '.join(words[k : k + 6])} ".encode() for k in (0, 5)]
     assert toxicity.windows(text) == windows
     assert toxicity.savings(text, *pair).tolist() == [length(ordinary, w) - length(toxic + ordinary, w) for w in windows]
 

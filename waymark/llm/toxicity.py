@@ -13,9 +13,9 @@ word that the ordinary one covers costs the same on both sides, at the same offs
 
 Every text is cut into overlapping windows of a few words, without the punctuation
 around them; each window is compressed on either side, and the bytes that the toxic
-side saves are its distance.  Windows begin with a preamble of all byte values, which
+side saves are its distance.  Windows begin with a preamble of many byte values, which
 both dictionaries end with: it costs one match, and makes the parser price a literal
-at the eight bits that it takes in so short a window.
+at nearly the eight bits that it takes in so short a window.
 
 Thresholds are calibrated on ordinary texts: for each of ``ALARM_RATES``, the least
 saving that no larger share of their windows reaches.  A logistic curve over the
@@ -51,13 +51,13 @@ TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
 #: Characters of a text of the sample.
 LONGEST = 50_000
 #: Words of a window, and from one window's start to the next.
-WINDOW, STEP = 4, 3
+WINDOW, STEP = 6, 5
 CONTRAST, LEAST_CONTEXTS = 12.0, 6
 #: Bytes of either dictionary at most.
 ORDINARY_BYTES, TOXIC_BYTES = 30_000, 8_192
 #: Shares of ordinary windows that a threshold lets pass.
 ALARM_RATES = (0.03, 0.01, 0.003, 0.001, 0.0003)
-PREAMBLE = bytes(range(256))
+PREAMBLE = bytes(range(160, 256))
 EDGE = ".,!?;:|*#$%&\"'()[]"
 
 
