@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +19,11 @@ WORD_BYTES = rb"[^\x20\x09-\x0D]+"
 #: A Java pattern for the same words, for use in SQL functions.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows of one Arrow batch: whole texts may be long, so batches stay short.
-ARROW_ROWS = 512
+ARROW_ROWS = 256
 
 
 #: And its bytes, whichever comes first.
-ARROW_BYTES = 4 << 20
+ARROW_BYTES = 1 << 20
 _scopes: list[list[str]] = []
 
 
@@ -93,6 +93,24 @@ def fresh(name: str, columns: list[str]) -> str:
     return name
 
 
+def lean(run: Callable) -> Callable:
+    """``run``, a generator over a partition, giving memory that it freed back to the system at its end: workers live on for other tasks."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
@@ -133,7 +151,7 @@ def annotated(docs: DataFrame, text: str, name: str, score: Callable[[], Callabl
             found = pa.array(own(batch.column(at).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> bytes:
@@ -151,5 +169,5 @@ def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]) -> bytes:
         rows.sort(key=lambda r: tuple((v is not None, v) for v in r))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])
 
-    found = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    found = sample.coalesce(1).mapInArrow(lean(run), "model binary").first()
     return bytes(found.model) if found else pickle.dumps(fit([]))

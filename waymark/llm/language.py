@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fitted, fold, materialise, scratch, short_batches, unit_hash
+from waymark.llm.common import fitted, fold, lean, materialise, scratch, short_batches, unit_hash
 
 SAMPLE, SAMPLE_ROWS, LONGEST = 600, 150_000, 50_000
 DIMENSIONS = 1 << 15
@@ -153,5 +153,5 @@ def identify_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
             said = [predict(model, t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    out = plain.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    out = plain.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm import simhash
-from waymark.llm.common import materialise, scratch, short_batches
+from waymark.llm.common import lean, materialise, scratch, short_batches
 
 BANDS, ROWS = 20, 5
 #: Standard deviations by which the share of equal minimum hashes may stay below ``least``.
@@ -71,7 +71,7 @@ def sketches(docs: DataFrame, *, doc_id: str, text: str, shingle: int) -> DataFr
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds))], [f.split()[0] for f in schema.split(", ")])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("of_text"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("of_text"), F.col(text).alias("text")).mapInArrow(lean(run), schema)
 
 
 def _with_shingles(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
@@ -99,7 +99,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     short_batches(sets.sparkSession)
     held = _with_shingles(_with_shingles(pairs, sets, "v", "u"), sets, "u", "v")
-    return materialise(held.select("u", "v", "u_shingles", "v_shingles").mapInArrow(run, "u long, v long"))
+    return materialise(held.select("u", "v", "u_shingles", "v_shingles").mapInArrow(lean(run), "u long, v long"))
 
 
 def _across(least: float):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import annotated, fold, materialise, scratch, short_batches
+from waymark.llm.common import annotated, fold, lean, materialise, scratch, short_batches
 
 FEATURES, BANDWIDTH, RIDGE, SEED = 256, 3.0, 1.0, 11
 #: Bins of ridge scores from -0.5 to 1.5 for the calibration.
@@ -78,7 +78,7 @@ def described(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
             values = [statistics(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(values, pa.list_(pa.float64()))], ["doc_id", "stats"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, stats array<double>")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), "doc_id long, stats array<double>")
 
 
 def _lift(stats: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
@@ -185,5 +185,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(apply(own, _arrays(batch)), pa.float64())], ["doc_id", "score"])
 
-    scored = rows.mapInArrow(run, "doc_id long, score double")
+    scored = rows.mapInArrow(lean(run), "doc_id long, score double")
     return scored.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

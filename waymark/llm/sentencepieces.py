@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import short_batches
+from waymark.llm.common import lean, short_batches
 
 SPACE = "▁".encode()
 
@@ -187,7 +187,7 @@ def encode_documents(docs: DataFrame, model: bytes, *, doc_id: str = "doc_id", t
                 columns += [pa.array([x[k] for x in out], pa.list_(pa.int64())) for k in (1, 2)]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), schema)
 
 
 def digests(docs: DataFrame, model: bytes, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -209,4 +209,4 @@ def digests(docs: DataFrame, model: bytes, *, doc_id: str = "doc_id", text: str
             kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds))], [x.split()[0] for x in schema.split(", ")])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), schema)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fresh, materialise, scratch, short_batches
+from waymark.llm.common import fresh, lean, materialise, scratch, short_batches
 
 #: Variants that one task expands.
 TASK_VARIANTS = 1 << 21
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             found = np.array([fingerprint_tables(t.as_py(), shingle, tables) for t in batch.column(2)], np.uint64).reshape(-1, tables).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found[:, 0]), pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))], ["doc_id", "of_text", "fp", "more"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("of_text"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, of_text long, fp long, more array<long>")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("of_text"), F.col(text).alias("text")).mapInArrow(lean(run), "doc_id long, of_text long, fp long, more array<long>")
 
 
 def _flips(bits: range, most: int) -> list[int]:
