@@ -106,11 +106,10 @@ def _streamed(fences: dict, settings: Settings):
         held = folding.State.load(state.get[0] if state.exists else None)
         runner = folding.Fold(key[0], held, settings, fences)
         rows = pd.concat(list(chunks)).sort_values(["recorded_at", "ping_id"], kind="stable")
-        none = lambda v: None if v is None or v != v else v
+        none = lambda v: None if v is None or isinstance(v, float) and v != v else v
         out: list[dict] = []
         for r in rows.to_dict("records"):
-            ping = folding.Ping(r["ping_id"], key[0], none(r["trip_id"]), int(r["recorded_at"]), r["lat"], r["lon"], r["speed_kph"], bool(r["ignition"]), none(r["odometer_km"]), tuple(r["zone_ids"]), none(r["route_id"]), none(r["route_distance_m"]), none(r["route_fraction"]), none(r["delay_seconds"]))
-            out += [w | {"write_seq": len(out) + k} for k, w in enumerate(runner.take(ping))]
+            out += [w | {"write_seq": len(out) + k} for k, w in enumerate(runner.take(folding.ping_of({c: none(v) for c, v in r.items()})))]
         state.update((held.dump(),))
         frame = pd.DataFrame(out, columns=DETECTION_NAMES)
         for c in ("started_at", "ended_at"):
@@ -125,8 +124,7 @@ def _streamed(fences: dict, settings: Settings):
 
 def stateful(enriched: DataFrame, fences: dict, settings: Settings) -> DataFrame:
     """A streaming DataFrame of detection writes; a vehicle's pings are put in order within each micro-batch, and late ones skipped."""
-    rows = enriched.select(*[F.unix_micros(c).alias(c) if c == "recorded_at" else F.col(c) for c in folding._COLUMNS])
-    return rows.groupBy("vehicle_id").applyInPandasWithState(_streamed(fences, settings), schemas.DETECTION_FIELDS, _STATE, "append", "NoTimeout")
+    return folding.rows_of(enriched).groupBy("vehicle_id").applyInPandasWithState(_streamed(fences, settings), schemas.DETECTION_FIELDS, _STATE, "append", "NoTimeout")
 
 
 def session_defaults(spark: SparkSession) -> SparkSession:
