@@ -127,7 +127,7 @@ def test_the_declarative_form_equals_the_fold(spark):
     writes = fold.fold(w.enriched, fold.fences_of(w.zones), S).where(F.col("detection_type").isin(*kinds)).withColumn("batch_id", F.lit(0))
     merged = merge_writes(writes, "batch_id", "write_seq")
     pick = lambda df: sorted((r.detection_key, r.severity, r.trip_id, str(r.ended_at), r.duration_seconds, round(r.lat, 9), r.magnitude) for r in df.collect())
-    a, b = pick(merged), pick(w.found)
+    a, b = pick(merged), pick(episodes.all_declarative(w.enriched, w.zones, S))
     assert len(a) > 100 and [x[:5] for x in a] == [x[:5] for x in b]
     assert all((x[6] is None) == (y[6] is None) and (x[6] is None or abs(x[6] - y[6]) <= 0.0101) for x, y in zip(a, b))
 

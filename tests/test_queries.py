@@ -50,9 +50,10 @@ def test_classifications_have_both_sides(spark):
     assert all(s.where(c).count() for c in ("is_moving", "NOT is_moving", "is_after_gap", "NOT is_after_gap"))
 
 
-def test_entry_and_rows_only_queries(spark):
+def test_entry_and_every_kind_of_episode(spark):
     import __spark_entry__ as e
     from waymark.queries import FLEET
 
     assert e.entry(spark).count() > 0
-    assert FLEET["full_fold"].run(spark, SF).count() > 0 and FLEET["idle_episodes"].run(spark, SF).count() > 0
+    kinds = {r.detection_type: r.episodes for r in FLEET["first_writes"].run(spark, SF).collect()}
+    assert set(kinds) == {"idle", "delay", "gps_gap", "zone_visit", "geofence_breach", "route_deviation"} and min(kinds.values()) > 0

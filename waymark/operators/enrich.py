@@ -25,12 +25,21 @@ def zone_cells(zones: DataFrame) -> DataFrame:
     return boxed.select("*", span("box.min_lon", "box.max_lon").alias("cx")).select("*", span("box.min_lat", "box.max_lat").alias("cy"))
 
 
+def with_zones(pings: DataFrame, zones: DataFrame) -> DataFrame:
+    """``pings`` with zone_ids, the sorted ids of the zones that cover each: a ping stays one row, and pings are not shuffled for it.
+
+    Each cell holds the array of zones whose boxes touch it, which is filtered in place.
+    """
+    here = zone_cells(zones).groupBy("cx", "cy").agg(F.sort_array(F.collect_list(F.struct("zone_id", "parts", "box"))).alias("_zones"))
+    at = pings.withColumns({"cx": F.floor(F.col("lon") / CELL), "cy": F.floor(F.col("lat") / CELL)}).join(here, ["cx", "cy"], "left")
+    inside = F.filter("_zones", lambda z: geo.covers_parts(z["parts"], z["box"], F.col("lon"), F.col("lat")))
+    ids = F.coalesce(F.transform(inside, lambda z: z["zone_id"]), F.array().cast("array<string>"))
+    return at.select(*[at[c] for c in pings.columns], ids.alias("zone_ids"))
+
+
 def zones_per_ping(pings: DataFrame, zones: DataFrame) -> DataFrame:
-    """ping_id, zone_ids: the sorted ids of the zones that cover a ping, for pings in at least one."""
-    at = pings.select("ping_id", "lon", "lat", F.floor(F.col("lon") / CELL).alias("cx"), F.floor(F.col("lat") / CELL).alias("cy"))
-    met = at.join(zone_cells(zones), ["cx", "cy"])
-    inside = met.where(geo.covers_parts(F.col("parts"), F.col("box"), F.col("lon"), F.col("lat")))
-    return inside.groupBy("ping_id").agg(F.sort_array(F.collect_list("zone_id")).alias("zone_ids"))
+    """ping_id, zone_ids: for pings in at least one zone."""
+    return with_zones(pings.select("ping_id", "lon", "lat"), zones).select("ping_id", "zone_ids").where(F.size("zone_ids") > 0)
 
 
 def with_route(pings: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
@@ -62,6 +71,5 @@ def with_expected(routed: DataFrame, schedule: DataFrame) -> DataFrame:
 
 def enrich(pings: DataFrame, zones: DataFrame, trips: DataFrame, routes: DataFrame, schedule: DataFrame) -> DataFrame:
     """``pings`` with zone_ids, route columns, expected_elapsed_s and delay_seconds."""
-    whole = with_expected(with_route(pings, trips, routes), schedule)
-    whole = whole.withColumn("delay_seconds", seconds_between(F.col("planned_start_at"), F.col("recorded_at")) - F.col("expected_elapsed_s"))
-    return whole.join(zones_per_ping(pings, zones), "ping_id", "left").withColumn("zone_ids", F.coalesce("zone_ids", F.array().cast("array<string>")))
+    whole = with_expected(with_route(with_zones(pings, zones), trips, routes), schedule)
+    return whole.withColumn("delay_seconds", seconds_between(F.col("planned_start_at"), F.col("recorded_at")) - F.col("expected_elapsed_s"))

@@ -15,6 +15,7 @@ from waymark.sources.config import FleetConfig, demo
 
 S = adapter.SETTINGS
 GAP, IDLE = S.gps_gap_minutes * 60, S.idle_speed_kph
+LATE, STAND = S.delay_minutes * 60, S.idle_minutes * 60
 
 
 def r(x: str, places: int) -> str:
@@ -81,6 +82,7 @@ def expressions(config: FleetConfig) -> dict[str, str]:
     dur = f"CASE WHEN ended_at IS NOT NULL THEN CAST(round_even({secs('started_at', 'ended_at')}, 0) AS BIGINT) END AS duration_seconds"
     shaped = lambda kind, zone: f"{key(kind, zone, 'started_at')} AS detection_key, '{kind}' AS detection_type, severity, vehicle_id, trip_id, {zone} AS zone_id, started_at, ended_at, {dur}, lat, lon, {r('magnitude', 2)} AS magnitude, reason"
     part = lambda cond, v, name: f"CAST(CASE WHEN {cond} THEN {v} ELSE 0 END AS DECIMAL(12,2)) AS {name}"
+    slow = f"speed_kph <= {IDLE!r}::DOUBLE"
     seen, fast = "(gap_seconds IS NOT NULL AND NOT is_after_gap)", f"coalesce(kph > {IDLE!r}::DOUBLE, false)"
     sums = ", ".join(f"sum({c}) AS {c}" for c in ("moving_seconds", "stopped_seconds", "unobserved_seconds", "engine_on_seconds", "observed_seconds"))
     mean = lambda v: f"sum({v}) / nullif(CAST(count({v}) AS DOUBLE), 0)"
@@ -91,7 +93,7 @@ def expressions(config: FleetConfig) -> dict[str, str]:
         "route_parts": _values([p for x in config.routes for p in _parts(x.route_id, x.path)], "route_id, i, x1, y1, x2, y2"),
         "route_stops": _values([(x.route_id, z) for x in config.routes for z in x.stop_zone_ids], "route_id, zone_id"),
         "located": "SELECT *, coalesce(sum(len) OVER (PARTITION BY route_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0) AS before, sum(len) OVER (PARTITION BY route_id) AS total FROM (SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS len FROM route_parts)",
-        "readings": "SELECT event_id, '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS ping_id, 'VH-' || user_id AS vehicle_id, CASE WHEN event_type <> 'view' THEN 'TR-' || user_id || '-' || strftime(ts, '%Y%m%d') END AS trip_id, ts AS recorded_at, 104.83::DOUBLE + (event_id * 7919 % 1200) / 1e4 AS lon, 11.5::DOUBLE + (event_id * 104729 % 1050) / 1e4 AS lat, value AS speed_kph, CAST(event_id * 31 % 360 AS DOUBLE) AS heading_deg, event_type <> 'error' AS ignition, CAST(event_id % 101 AS DOUBLE) AS fuel_pct, event_type FROM events",
+        "readings": "SELECT event_id, '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS ping_id, 'VH-' || user_id AS vehicle_id, CASE WHEN event_type <> 'view' THEN 'TR-' || user_id || '-' || strftime(ts, '%Y%m%d') END AS trip_id, ts AS recorded_at, 104.83::DOUBLE + (place * 7919 % 1200) / 1e4 AS lon, 11.5::DOUBLE + (place * 104729 % 1050) / 1e4 AS lat, CASE WHEN stands THEN value / 20 ELSE value END AS speed_kph, CAST(event_id * 31 % 360 AS DOUBLE) AS heading_deg, event_type <> 'error' AS ignition, CAST(event_id % 101 AS DOUBLE) AS fuel_pct, event_type FROM (SELECT *, CASE WHEN stands THEN user_id * 37 + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END ELSE event_id END AS place FROM (SELECT *, value <= 20 AS stands FROM events))",
         "pings": f"SELECT *, {', '.join(f'{cell(side)} AS {name}' for name, side in GRID.items())} FROM readings WHERE speed_kph BETWEEN 0 AND 250 AND (ignition OR speed_kph <= 25)",
         "vehicles_": "SELECT 'VH-' || c_custkey AS vehicle_id, 'PP-' || c_custkey AS plate, ['van', 'truck', 'motorbike'][c_custkey % 3 + 1] AS vehicle_type, c_custkey % 40 * 100 + 60 AS capacity_kg, CASE WHEN c_custkey % 2 = 0 THEN 'Z-DEPOT-N' ELSE 'Z-DEPOT-S' END AS home_depot_id FROM customer",
         "trips_": f"SELECT trip_id, 'VH-' || n AS vehicle_id, [{', '.join(repr(x) for x in adapter.ROUTES)}][n % 4 + 1] AS route_id, day + INTERVAL 6 HOUR AS planned_start_at, day + INTERVAL 22 HOUR AS planned_end_at FROM (SELECT DISTINCT 'TR-' || user_id || '-' || strftime(ts, '%Y%m%d') AS trip_id, user_id AS n, date_trunc('day', ts)::TIMESTAMP AS day FROM events WHERE event_type <> 'view' UNION ALL SELECT 'TP-' || c_custkey, c_custkey, TIMESTAMP '2024-01-15' FROM customer WHERE c_custkey % 97 = 0)",
@@ -119,7 +121,7 @@ def expressions(config: FleetConfig) -> dict[str, str]:
         "routed": "SELECT ping_id, any_value(route_id) AS route_id, any_value(recorded_at) AS recorded_at, any_value(planned_start_at) AS planned_start_at, min(metres) AS route_distance_m, arg_min(fraction, (d2, i)) AS route_fraction FROM measured GROUP BY 1",
         "legs": "SELECT route_id, seq, fraction AS a, lead(fraction) OVER w AS b, elapsed_seconds AS c, lead(elapsed_seconds) OVER w AS d FROM schedule WINDOW w AS (PARTITION BY route_id ORDER BY seq)",
         "timed": "SELECT r.*, s.expected_elapsed_s FROM routed r LEFT JOIN LATERAL (SELECT c + (d - c) * (r.route_fraction - a) / nullif(b - a, 0) AS expected_elapsed_s FROM legs WHERE legs.route_id = r.route_id AND r.route_fraction >= a AND r.route_fraction <= b ORDER BY seq LIMIT 1) s ON true",
-        "sequenced": f"SELECT *, sum(CASE WHEN after_gap THEN 1 ELSE 0 END) OVER (PARTITION BY vehicle_id ORDER BY n) AS stretch FROM (SELECT *, {secs('prev_at', 'recorded_at')} AS gap_s, coalesce({secs('prev_at', 'recorded_at')} > {GAP}, false) AS after_gap, coalesce({secs('recorded_at', 'next_at')} > {GAP}, false) AS next_gap FROM (SELECT p.*, q.route_distance_m, row_number() OVER w AS n, lag(p.recorded_at) OVER w AS prev_at, lag(trip_id) OVER w AS prev_trip, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lead(p.recorded_at) OVER w AS next_at, lead(trip_id) OVER w AS next_trip FROM pings p LEFT JOIN routed q USING (ping_id) WINDOW w AS (PARTITION BY vehicle_id ORDER BY p.recorded_at, p.ping_id)))",
+        "sequenced": f"SELECT *, sum(CASE WHEN after_gap THEN 1 ELSE 0 END) OVER (PARTITION BY vehicle_id ORDER BY n) AS stretch FROM (SELECT *, {secs('prev_at', 'recorded_at')} AS gap_s, coalesce({secs('prev_at', 'recorded_at')} > {GAP}, false) AS after_gap, coalesce({secs('recorded_at', 'next_at')} > {GAP}, false) AS next_gap FROM (SELECT p.*, q.route_distance_m, {secs('planned_start_at', 'p.recorded_at')} - q.expected_elapsed_s AS delay_s, row_number() OVER w AS n, lag(p.recorded_at) OVER w AS prev_at, lag(trip_id) OVER w AS prev_trip, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lead(p.recorded_at) OVER w AS next_at, lead(trip_id) OVER w AS next_trip FROM pings p LEFT JOIN (SELECT ping_id, route_distance_m, planned_start_at, expected_elapsed_s FROM timed) q USING (ping_id) WINDOW w AS (PARTITION BY vehicle_id ORDER BY p.recorded_at, p.ping_id)))",
         "gaps": f"SELECT {shaped('gps_gap', 'NULL')} FROM (SELECT vehicle_id, prev_trip AS trip_id, prev_at AS started_at, recorded_at AS ended_at, prev_lat AS lat, prev_lon AS lon, gap_s / 60 AS magnitude, CASE WHEN gap_s >= {GAP * 3} THEN 'warning' ELSE 'info' END AS severity, CAST(NULL AS VARCHAR) AS reason FROM sequenced WHERE after_gap)",
         "inside": "SELECT s.*, z.zone_id, f.zone_kind, f.max_dwell_minutes, n - row_number() OVER (PARTITION BY vehicle_id, z.zone_id ORDER BY n) AS island FROM sequenced s JOIN zoned z USING (ping_id) JOIN zones_ f ON f.zone_id = z.zone_id",
         "inside_timed": f"SELECT *, {secs('started_at', 'recorded_at')} AS stay_s FROM (SELECT *, min(recorded_at) OVER (PARTITION BY vehicle_id, zone_id, stretch, island) AS started_at FROM inside)",
@@ -132,9 +134,15 @@ def expressions(config: FleetConfig) -> dict[str, str]:
         "off2": f"SELECT *, min(CASE WHEN {secs('started_at', 'recorded_at')} >= {S.deviation_seconds} THEN n END) OVER (PARTITION BY vehicle_id, stretch, island) AS told_n FROM off1",
         "off3": "SELECT vehicle_id, stretch, island, started_at, max(route_distance_m) AS peak, max(route_distance_m) FILTER (n <= told_n) AS peak_then, arg_max({'trip': trip_id, 'lat': lat, 'lon': lon}, n) FILTER (n = told_n) AS told, arg_max({'at': recorded_at, 'next_at': next_at, 'trip': trip_id}, n) AS last FROM off2 WHERE told_n IS NOT NULL GROUP BY 1, 2, 3, 4",
         "deviations": f"SELECT {shaped('route_deviation', 'NULL')} FROM (SELECT *, {grade('magnitude', repr(S.deviation_metres) + '::DOUBLE')} AS severity FROM (SELECT vehicle_id, started_at, CASE WHEN last.next_at IS NOT NULL THEN last.at END AS ended_at, coalesce(told.trip, CASE WHEN last.next_at IS NOT NULL THEN last.trip END) AS trip_id, told.lat AS lat, told.lon AS lon, CASE WHEN last.next_at IS NOT NULL THEN peak ELSE peak_then END AS magnitude, CAST(NULL AS VARCHAR) AS reason FROM off3))",
-        "episodes": "SELECT * FROM gaps UNION ALL BY NAME SELECT * FROM visits UNION ALL BY NAME SELECT * FROM breaches UNION ALL BY NAME SELECT * FROM deviations",
+        "late_walk": f"SELECT vehicle_id, n, recorded_at, trip_id, lat, lon, delay_s, coalesce(delay_s >= {LATE}, false) AS told, CASE WHEN delay_s >= {LATE} THEN trunc(delay_s) END AS level FROM sequenced WHERE n = 1 UNION ALL SELECT vehicle_id, n, recorded_at, trip_id, lat, lon, delay_s, told, CASE WHEN told THEN trunc(delay_s) ELSE before END FROM (SELECT *, coalesce(delay_s >= {LATE} AND (before IS NULL OR delay_s >= before + {S.delay_restep_minutes * 60}), false) AS told FROM (SELECT s.*, CASE WHEN s.trip_id IS NOT DISTINCT FROM s.prev_trip THEN w.level END AS before FROM late_walk w JOIN sequenced s ON s.vehicle_id = w.vehicle_id AND s.n = w.n + 1))",
+        "delays": f"SELECT {shaped('delay', 'NULL')} FROM (SELECT vehicle_id, trip_id, recorded_at AS started_at, recorded_at AS ended_at, lat, lon, delay_s / 60 AS magnitude, {grade('delay_s', LATE)} AS severity, CAST(NULL AS VARCHAR) AS reason FROM late_walk WHERE told)",
+        "idle_walk": f"SELECT vehicle_id, n, CASE WHEN {slow} THEN n END AS start_n, lat, lon FROM sequenced WHERE n = 1 UNION ALL SELECT vehicle_id, n, CASE WHEN goes_on THEN start_n WHEN {slow} THEN n END, CASE WHEN goes_on THEN w_lat ELSE lat END, CASE WHEN goes_on THEN w_lon ELSE lon END FROM (SELECT s.*, w.start_n, w.lat AS w_lat, w.lon AS w_lon, ({slow} AND w.start_n IS NOT NULL AND NOT s.after_gap AND w.lat = s.lat AND w.lon = s.lon) AS goes_on FROM idle_walk w JOIN sequenced s ON s.vehicle_id = w.vehicle_id AND s.n = w.n + 1)",
+        "idle_pings": f"SELECT s.*, w.start_n, {secs('since', 's.recorded_at')} AS stood, count(*) OVER r AS seen, sum(CASE WHEN ignition THEN 1 ELSE 0 END) OVER r AS powered FROM (SELECT *, min(seen_at) OVER (PARTITION BY vehicle_id, start_n) AS since FROM (SELECT w.*, s.recorded_at AS seen_at FROM idle_walk w JOIN sequenced s USING (vehicle_id, n)) WHERE start_n IS NOT NULL) w JOIN sequenced s USING (vehicle_id, n) WINDOW r AS (PARTITION BY vehicle_id, w.start_n ORDER BY n)",
+        "idle_told": f"SELECT vehicle_id, start_n, arg_min({{'lat': lat, 'lon': lon, 'at': recorded_at, 'ping': ping_id}}, n) AS first, arg_min({{'s': stood, 'seen': seen, 'powered': powered, 'trip': trip_id}}, n) FILTER (stood >= {STAND}) AS told, arg_max({{'s': stood, 'seen': seen, 'powered': powered, 'trip': trip_id, 'at': recorded_at, 'next_at': next_at}}, n) AS last FROM idle_pings GROUP BY 1, 2 HAVING max(stood) >= {STAND}",
+        "idles": f"SELECT {shaped('idle', 'blamed')} FROM (SELECT vehicle_id, blamed, first.at AS started_at, CASE WHEN closed THEN last.at END AS ended_at, coalesce(told.trip, CASE WHEN closed THEN last.trip END) AS trip_id, first.lat AS lat, first.lon AS lon, m.s / 60 AS magnitude, CASE WHEN m.powered * 2 < m.seen THEN 'info' ELSE {grade('m.s', STAND)} END AS severity, CAST(NULL AS VARCHAR) AS reason FROM (SELECT *, last.next_at IS NOT NULL AS closed, CASE WHEN last.next_at IS NOT NULL THEN {{'s': last.s, 'seen': last.seen, 'powered': last.powered}} ELSE {{'s': told.s, 'seen': told.seen, 'powered': told.powered}} END AS m FROM idle_told LEFT JOIN (SELECT ping_id AS ping, arg_min(zone_id, (CASE zone_kind WHEN 'depot' THEN 0 WHEN 'customer' THEN 1 WHEN 'restricted' THEN 2 ELSE 3 END, zone_id)) AS blamed FROM zoned JOIN zones_ USING (zone_id) GROUP BY 1) b ON b.ping = first.ping))",
+        "episodes": "SELECT * FROM idles UNION ALL BY NAME SELECT * FROM delays UNION ALL BY NAME SELECT * FROM gaps UNION ALL BY NAME SELECT * FROM visits UNION ALL BY NAME SELECT * FROM breaches UNION ALL BY NAME SELECT * FROM deviations",
         "detections": f"SELECT *, CAST(started_at AS DATE) AS started_date, date_trunc('hour', started_at)::TIMESTAMP AS started_hour, {r('(duration_seconds / 60e0)', 2)} AS duration_minutes, ended_at IS NULL AS is_open, CASE severity WHEN 'critical' THEN 3 WHEN 'warning' THEN 2 ELSE 1 END AS severity_rank FROM episodes",
-        "alerts0": f"SELECT d.*, v.plate, v.vehicle_type, t.route_id, x.name AS route_name, z.name AS zone_name, z.zone_kind, CASE d.detection_type WHEN 'geofence_breach' THEN CASE WHEN z.max_dwell_minutes IS NULL THEN 1e0 ELSE d.magnitude / z.max_dwell_minutes END WHEN 'route_deviation' THEN d.magnitude / {float(S.deviation_metres)!r}::DOUBLE WHEN 'gps_gap' THEN d.magnitude / {float(S.gps_gap_minutes)!r}::DOUBLE END AS multiple FROM detections d LEFT JOIN vehicles_ v USING (vehicle_id) LEFT JOIN zones_ z ON z.zone_id = d.zone_id LEFT JOIN trips_ t ON t.trip_id = d.trip_id LEFT JOIN routes_ x ON x.route_id = t.route_id",
+        "alerts0": f"SELECT d.*, v.plate, v.vehicle_type, t.route_id, x.name AS route_name, z.name AS zone_name, z.zone_kind, CASE d.detection_type WHEN 'geofence_breach' THEN CASE WHEN z.max_dwell_minutes IS NULL THEN 1e0 ELSE d.magnitude / z.max_dwell_minutes END WHEN 'route_deviation' THEN d.magnitude / {float(S.deviation_metres)!r}::DOUBLE WHEN 'gps_gap' THEN d.magnitude / {float(S.gps_gap_minutes)!r}::DOUBLE WHEN 'idle' THEN d.magnitude / {float(S.idle_minutes)!r}::DOUBLE WHEN 'delay' THEN d.magnitude / {float(S.delay_minutes)!r}::DOUBLE END AS multiple FROM detections d LEFT JOIN vehicles_ v USING (vehicle_id) LEFT JOIN zones_ z ON z.zone_id = d.zone_id LEFT JOIN trips_ t ON t.trip_id = d.trip_id LEFT JOIN routes_ x ON x.route_id = t.route_id",
         "alerts": f"SELECT *, {r('multiple', 2)} AS threshold_multiple FROM alerts0",
         "driven": f"SELECT trip_id, count(*) AS n, min(recorded_at) AS actual_start_at, max(recorded_at) AS actual_end_at, sum(travelled_m) AS metres, {sums}, max(speed_kph) AS fastest, {mean('moving_kph')} AS average FROM moving WHERE trip_id IS NOT NULL GROUP BY 1",
         "trip_alerts": f"SELECT trip_id, {alerts}, max(magnitude) FILTER (detection_type = 'delay') AS worst_delay_minutes, max(magnitude) FILTER (detection_type = 'route_deviation') AS worst_deviation_m FROM alerts WHERE trip_id IS NOT NULL GROUP BY 1",
@@ -176,5 +184,5 @@ def query(final: str, spec: str, tail: str = "") -> str:
     need(final)
     chain = [n for n in known if n in needed]
     picked = ", ".join(f'CAST("{n}" AS {KINDS[k]}) AS "{n}"' for n, k in columns(spec))
-    head = "WITH " + ", ".join(f"{n} AS ({known[n]})" for n in chain) + " " if chain else ""
+    head = "WITH RECURSIVE " + ", ".join(f"{n} AS ({known[n]})" for n in chain) + " " if chain else ""
     return f"{head}SELECT {picked} FROM {final} {tail}".strip()

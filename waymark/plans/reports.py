@@ -28,7 +28,7 @@ def _down(*names: str) -> list[Column]:
 
 def ingest_overview(t: Tables) -> DataFrame:
     p = t("raw.pings").agg(F.count(N).alias("pings"), F.count_distinct("vehicle_id").alias("vehicles"), F.count_distinct("trip_id").alias("trips"), F.min("recorded_at").alias("first_ping_at"), F.max("recorded_at").alias("last_ping_at"), F.max("ingested_at").alias("last_ingested_at"))
-    return p.join(t("raw.pings_dead_letter").agg(F.count(N).alias("dead_letters")))  # one row and one row
+    return p.withColumn("dead_letters", t("raw.pings_dead_letter").agg(F.count(N)).scalar())
 
 
 def dead_letter_reasons(t: Tables, limit: int | None = 8) -> DataFrame:
@@ -146,8 +146,9 @@ def map_routes(t: Tables) -> DataFrame:
 
 
 def _lately(rows: DataFrame, moment: str, hours: int) -> DataFrame:
-    newest = rows.agg(F.max(moment).alias("newest"))
-    return rows.join(newest).where(F.col(moment) >= F.col("newest") - F.make_dt_interval(hours=F.lit(hours))).drop("newest")  # rows and one row
+    """The rows of the last hours; the newest moment is a scalar subquery, so that the filter reaches the scan."""
+    newest = rows.agg(F.max(moment)).scalar()
+    return rows.where(F.col(moment) >= newest - F.make_dt_interval(hours=F.lit(hours)))
 
 
 def map_tracks(t: Tables, *, hours: int = 6, max_points: int = 400) -> DataFrame:

@@ -59,7 +59,8 @@ class World:
 
     @property
     def found(self) -> DataFrame:
-        return self._once("found", lambda: episodes.all_declarative(self.enriched, self.zones, S).withColumn("updated_at", F.coalesce("ended_at", "started_at")))
+        """Every episode of the fold, its writes merged: one pass over the pings, whatever the number of kinds."""
+        return self._once("found", lambda: _episodes(fold.fold(self.enriched, fold.fences_of(self.zones), S)))
 
     def __getitem__(self, name: str) -> DataFrame:
         sources = {"raw.pings": lambda: self.pings, "ref.zones": lambda: self.zones, "ref.routes": lambda: self.routes, "ref.route_schedule": lambda: self.schedule, "ref.trips": lambda: self.trips, "ref.vehicles": lambda: adapter.vehicles(self.spark, self.sf_dir), "stream.episodes": lambda: self.found}
@@ -98,14 +99,15 @@ def _test(check: Check) -> Callable[[World], DataFrame]:
     return lambda w: violations(check, w.table(check.model), w.table)
 
 
-def _fold(w: World) -> DataFrame:
-    return fold.fold(w.enriched, fold.fences_of(w.zones), S).where("detection_key IS NOT NULL")
+def _episodes(folded: DataFrame) -> DataFrame:
+    merged = landing.merge_writes(folded.where("detection_key IS NOT NULL").withColumn("batch_id", F.lit(0).cast("long")), "write_seq")
+    return merged.withColumns({"reason": F.get_json_object("details", "$.reason"), "updated_at": F.coalesce("ended_at", "started_at")})
 
 
-def _parked(w: World) -> DataFrame:
-    """Idle runs of vehicles that stand at one place, now and then with the engine on."""
-    still = w.enriched.withColumns({"lon": F.lit(104.89), "lat": F.lit(11.59), "speed_kph": F.when(F.col("speed_kph") > 60, F.lit(30.0)).otherwise(F.lit(0.0))})
-    return fold.fold(still, fold.fences_of(w.zones), S.with_(gps_gap_minutes=5000)).where("detection_type = 'idle'")
+def _writes(w: World) -> DataFrame:
+    """Writes of the fold by kind: openings, closes, and of those the first of their episodes."""
+    g = fold.fold(w.enriched, fold.fences_of(w.zones), S).where("detection_key IS NOT NULL").groupBy("detection_type")
+    return g.agg(F.count_distinct("detection_key").alias("episodes"), reports.count_where(F.col("is_first")).alias("first_writes"), F.count_distinct(F.when(F.col("ended_at").isNotNull(), F.col("detection_key"))).alias("closed"))
 
 
 def _merged(w: World) -> DataFrame:
@@ -234,9 +236,10 @@ FLEET: dict[str, Query] = {
     "zone_visits": Query(lambda w: episodes.zone_visits(episodes.stays(_seq(w), w.zones)), EPISODE, "visits"),
     "geofence_breaches": Query(lambda w: episodes.breaches(episodes.stays(_seq(w), w.zones)), EPISODE, "breaches"),
     "route_deviations": Query(lambda w: episodes.deviations(_seq(w), S), EPISODE, "deviations"),
-    "full_fold": Query(_fold, EPISODE.replace(" reason", "") + " is_first#b write_seq#l"),
-    "idle_episodes": Query(_parked, EPISODE.replace(" reason", "") + " is_first#b write_seq#l"),
-    "delay_escalation": Query(lambda w: _fold(w).where("detection_type = 'delay'"), EPISODE.replace(" reason", "") + " is_first#b write_seq#l"),
+    "full_fold": Query(lambda w: w.found, EPISODE, "episodes"),
+    "idle_episodes": Query(lambda w: w.found.where("detection_type = 'idle'"), EPISODE, "idles"),
+    "delay_escalation": Query(lambda w: w.found.where("detection_type = 'delay'"), EPISODE, "delays"),
+    "first_writes": Query(_writes, "detection_type episodes#l first_writes#l closed#l", "(SELECT detection_type, count(*) AS episodes, count(*) AS first_writes, count(ended_at) AS closed FROM episodes GROUP BY 1)"),
     # Models
     "stg_pings": Query(lambda w: w.ref("stg_pings"), "ping_id vehicle_id trip_id recorded_at#t recorded_date#y recorded_hour#t lat#d lon#d cell_r8 cell_r9 speed_kph#d heading_deg#d ignition#b fuel_pct#d is_reported_stopped#b", f"(SELECT *, CAST(recorded_at AS DATE) AS recorded_date, date_trunc('hour', recorded_at) AS recorded_hour, speed_kph <= {S.idle_speed_kph} AS is_reported_stopped FROM pings)"),
     "stg_detections": Query(lambda w: w.ref("stg_detections"), EPISODE + " started_date#y started_hour#t duration_minutes#d is_open#b severity_rank#l", "detections"),

@@ -12,6 +12,8 @@ from waymark.sources.config import Settings
 SETTINGS = Settings(idle_speed_kph=1.0, gps_gap_minutes=720, deviation_metres=2000.0, deviation_seconds=3600, idle_minutes=30, delay_minutes=60, delay_restep_minutes=60)
 ROUTES = ("R-NORTH-LOOP", "R-SOUTH-RUN", "R-AIRPORT-SHUTTLE", "R-CITY-CROSS")
 TYPES = ("van", "truck", "motorbike")
+#: Events of values up to this are of standing vehicles.
+STANDING = 20
 
 
 def _events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -19,19 +21,25 @@ def _events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a position report, good or not."""
+    """Every event as a position report, good or not.
+
+    One of a small value is of a standing vehicle, which stands at one of two places of
+    its own; the others are anywhere.
+    """
     e = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "value", "props")
     vehicle = F.concat(F.lit("VH-"), F.col("user_id").cast("string"))
     trip = F.when(F.col("event_type") != "view", F.concat(F.lit("TR-"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")))
+    stands = F.col("value") <= STANDING
+    place = F.when(stands, F.col("user_id") * 37 + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)).otherwise(F.col("event_id"))
     return e.select(
         "event_id",
         F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("ping_id"),
         vehicle.alias("vehicle_id"),
         trip.alias("trip_id"),
         F.col("ts").cast("timestamp").alias("recorded_at"),
-        (F.lit(104.83) + F.col("event_id") * 7919 % 1200 / F.lit(10000.0)).alias("lon"),
-        (F.lit(11.5) + F.col("event_id") * 104729 % 1050 / F.lit(10000.0)).alias("lat"),
-        F.col("value").alias("speed_kph"),
+        (F.lit(104.83) + place * 7919 % 1200 / F.lit(10000.0)).alias("lon"),
+        (F.lit(11.5) + place * 104729 % 1050 / F.lit(10000.0)).alias("lat"),
+        F.when(stands, F.col("value") / STANDING).otherwise(F.col("value")).alias("speed_kph"),
         (F.col("event_id") * 31 % 360).cast("double").alias("heading_deg"),
         (F.col("event_type") != "error").alias("ignition"),
         F.lit(None).cast("double").alias("odometer_km"),
