@@ -64,6 +64,8 @@ class World:
 
     def __getitem__(self, name: str) -> DataFrame:
         sources = {"raw.pings": lambda: self.pings, "ref.zones": lambda: self.zones, "ref.routes": lambda: self.routes, "ref.route_schedule": lambda: self.schedule, "ref.trips": lambda: self.trips, "ref.vehicles": lambda: adapter.vehicles(self.spark, self.sf_dir), "stream.episodes": lambda: self.found}
+        sources |= {"meta.ingest_batches": lambda: adapter.batches(self.spark, self.sf_dir), "meta.model_runs": lambda: adapter.model_runs(self.spark, self.sf_dir), "meta.test_results": lambda: adapter.test_results(self.spark, self.sf_dir)}
+        sources["raw.pings_dead_letter"] = lambda: messages.rejected(messages.decoded(adapter.faulty_messages(self.spark, self.sf_dir))).withColumn("rejected_at", F.lit("2024-02-01").cast("timestamp"))
         return sources[name]()
 
     def table(self, name: str) -> DataFrame:
@@ -144,9 +146,16 @@ def _landed(w: World) -> DataFrame:
 
 
 def _delete_insert(w: World) -> DataFrame:
+    """All customers; of a quarter that comes again some have new keys."""
     c = w.read("customer").select("c_custkey", "c_name", "c_mktsegment")
-    stage = c.where("c_custkey % 4 = 0").withColumn("c_mktsegment", F.lit("NEW"))
-    return landing.delete_insert(c.where("c_custkey % 2 = 0"), stage, "c_custkey")
+    stage = c.where("c_custkey % 4 = 0").withColumns({"c_mktsegment": F.lit("NEW"), "c_custkey": F.when(F.col("c_custkey") % 8 == 0, F.col("c_custkey") + 100_000_000).otherwise(F.col("c_custkey"))})
+    return landing.delete_insert(c, stage, "c_custkey")
+
+
+def _delete_insert_lines(w: World) -> DataFrame:
+    """All order lines, under a key of two columns."""
+    x = w.read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return landing.delete_insert(x, x.where("l_linenumber = 2 AND l_orderkey % 2 = 0").withColumn("l_quantity", F.lit(0).cast("double")), "l_orderkey", "l_linenumber")
 
 
 def _latest(w: World) -> DataFrame:
@@ -174,13 +183,6 @@ def _accepts(w: World) -> DataFrame:
     return messages.valid(messages.decoded(adapter.messages(w.spark, w.sf_dir)))
 
 
-def _runs(w: World) -> DataFrame:
-    o = w.read("orders")
-    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped")
-    runs = o.select((F.col("o_custkey") % 11).cast("string").alias("run_id"), F.col("o_orderdate").cast("timestamp").alias("started_at"), status.alias("status"))
-    return runs.groupBy("run_id").agg(F.min("started_at").alias("started_at"), F.count(F.lit(1)).alias("models"), *[reports.count_where(F.col("status") == s).alias(n) for n, s in (("succeeded", "success"), ("failed", "failed"), ("skipped", "skipped"))])
-
-
 def _distances(w: World) -> DataFrame:
     p = w.pings.select("ping_id", "lon", "lat")
     depot = (F.lit(104.89), F.lit(11.59))
@@ -218,7 +220,8 @@ FLEET: dict[str, Query] = {
     "decoded_pings": Query(_accepts, "ping_id vehicle_id trip_id recorded_at#t lon#d lat#d speed_kph#d heading_deg#d ignition#b fuel_pct#d cell_r8 cell_r9 offset#l", "(SELECT *, event_id AS \"offset\" FROM pings)"),
     "dedupe_first_offset": Query(_offsets, "event_id#l event_type value#d offset#l", "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY \"offset\") AS k FROM (SELECT event_id, event_type, value, event_id AS \"offset\" FROM events UNION ALL SELECT event_id % 4000, event_type, value, event_id + 100000000 FROM events WHERE event_id % 5 = 0)) WHERE k = 1)"),
     "insert_if_absent": Query(_landed, "event_type n#l least#l", "(SELECT event_type, count(*) AS n, min(event_id) AS least FROM events e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_id = e.event_id AND x.event_id % 3 = 0) GROUP BY 1)"),
-    "incremental_delete_insert": Query(_delete_insert, "c_custkey#l c_name c_mktsegment", "(SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 2 = 0)"),
+    "incremental_delete_insert": Query(_delete_insert, "c_custkey#l c_name c_mktsegment", "(SELECT c_custkey, c_name, CASE WHEN c_custkey % 8 = 4 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer UNION ALL SELECT c_custkey + 100000000, c_name, 'NEW' FROM customer WHERE c_custkey % 8 = 0)"),
+    "incremental_composite_key": Query(_delete_insert_lines, "l_orderkey#l l_linenumber#l l_quantity#d", "(SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 2 AND l_orderkey % 2 = 0 THEN 0 ELSE l_quantity END AS l_quantity FROM lineitem)"),
     "state_upsert_latest": Query(_latest, "o_custkey#l o_orderkey#l o_orderstatus o_totalprice#d", "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS k FROM orders) WHERE k = 1)"),
     "reference_upsert": Query(_upsert, "vehicle_id plate vehicle_type capacity_kg#l home_depot_id", "(SELECT * REPLACE (CASE WHEN capacity_kg < 1000 THEN 'NEW-' || vehicle_id ELSE plate END AS plate) FROM vehicles_)"),
     "stg_pings_incremental_window": Query(_recent, "ping_id recorded_at#t", "(SELECT * FROM pings WHERE recorded_at >= (SELECT max(recorded_at) - INTERVAL 15 MINUTE FROM pings WHERE recorded_at < TIMESTAMP '2024-01-20'))"),
@@ -269,7 +272,12 @@ FLEET: dict[str, Query] = {
     "map_alerts": Query(lambda w: reports.map_alerts(w.table, hours=48), "detection_type severity vehicle_id plate zone_name started_at#t duration_minutes#d magnitude#d lat#d lon#d is_open#b", "(SELECT * FROM alerts WHERE lat IS NOT NULL AND detection_type <> 'zone_visit' AND started_at >= (SELECT max(started_at) FROM alerts) - INTERVAL 48 HOUR)"),
     "map_cells": Query(lambda w: reports.map_cells(w.table), "cell_r8 pings#l vehicles#l stopped_hours#d avg_moving_kph#d", "(SELECT * FROM cell_totals ORDER BY pings DESC, cell_r8 LIMIT 600)"),
     "reference_counts": Query(lambda w: reference.counts({n: w[f"ref.{n}"] for n in ("zones", "routes", "route_schedule", "vehicles", "trips")}), "relation n#l", "(SELECT 'zones' AS relation, count(*) AS n FROM zones_ UNION ALL SELECT 'routes', count(*) FROM routes_ UNION ALL SELECT 'route_schedule', count(*) FROM schedule UNION ALL SELECT 'vehicles', count(*) FROM vehicles_ UNION ALL SELECT 'trips', count(*) FROM trips_)"),
-    "run_log_rollup": Query(_runs, "run_id started_at#t models#l succeeded#l failed#l skipped#l", "(SELECT CAST(o_custkey % 11 AS VARCHAR) AS run_id, min(o_orderdate) AS started_at, count(*) AS models, count(*) FILTER (o_orderstatus = 'F') AS succeeded, count(*) FILTER (o_orderstatus = 'O') AS failed, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS skipped FROM orders GROUP BY 1)"),
+    "refusals_by_rule": Query(lambda w: reports.dead_letter_reasons(w.table, limit=None), "reason messages#l", "(SELECT v.reason, count(*) AS messages FROM events JOIN (VALUES " + ", ".join(f"({k}, '{words.replace(chr(39), chr(39) * 2)}')" for k, (*_, words) in enumerate(adapter.FAULTS)) + ") AS v(k, reason) ON event_id % 32 = v.k GROUP BY 1)"),
+    "recent_batches": Query(lambda w: reports.recent_batches(w.table), "batch_id#l status started_at#t finished_at#t messages_read#l rows_inserted#l rows_rejected#l", "(SELECT CAST(floor(event_id / 500) AS BIGINT) AS batch_id, 'committed' AS status, min(ts) AS started_at, max(ts) AS finished_at, count(*) AS messages_read, count(*) FILTER (event_type <> 'error') AS rows_inserted, count(*) FILTER (event_type = 'error') AS rows_rejected FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 5)"),
+    "last_transform_run": Query(lambda w: reports.last_transform_run(w.table), "run_id started_at#t models#l succeeded#l failed#l skipped#l", "(SELECT CAST(o_custkey % 11 AS VARCHAR) AS run_id, min(o_orderdate) AS started_at, count(*) AS models, count(*) FILTER (o_orderstatus = 'F') AS succeeded, count(*) FILTER (o_orderstatus = 'O') AS failed, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS skipped FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)"),
+    "last_test_run": Query(lambda w: reports.last_test_run(w.table), "run_id executed_at#t tests#l passed#l failed#l errored#l", "(SELECT CAST(o_custkey % 11 AS VARCHAR) AS run_id, max(o_orderdate) AS executed_at, count(*) AS tests, count(*) FILTER (o_orderstatus = 'F') AS passed, count(*) FILTER (o_orderstatus = 'O') AS failed, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS errored FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)"),
+    "failing_tests": Query(lambda w: reports.failing_tests(w.table, "7"), "model_name column_name test_name status failing_rows#l", "(SELECT 'm' || (o_orderkey % 5) AS model_name, 'c' AS column_name, 't' || o_orderkey AS test_name, CASE WHEN o_orderstatus = 'O' THEN 'fail' ELSE 'error' END AS status, o_orderkey % 3 AS failing_rows FROM orders WHERE o_custkey % 11 = 7 AND o_orderstatus <> 'F')"),
+    "map_routes": Query(lambda w: reports.map_routes(w.table), "route_id name path_geojson length_km#d", "dim_route"),
     "busiest_segments": Query(_busiest, "vehicle_id rank#l ping_id travelled_m#d", "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY travelled_m DESC, recorded_at, ping_id) AS rank FROM segments) WHERE rank <= 3)"),
     # Data tests
     "test_not_null": Query(_test(Check("stg_pings", "not_null", column="trip_id")), ONE, check_sql("count(*) AS failing FROM pings WHERE trip_id IS NULL")),
