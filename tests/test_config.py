@@ -37,8 +37,16 @@ def test_demo_and_files(tmp_path):
             load(tmp_path / name)
 
 
-@pytest.mark.parametrize("changes", [{"idle_minutes": 0}, {"gps_gap_minutes": -1}, {"h3_coarse": 9}, {"h3_fine": 16}, {"consumer_batch_size": 0}])
+@pytest.mark.parametrize("changes", [{"idle_minutes": 0}, {"gps_gap_minutes": -1}, {"coarse_resolution": 9}, {"fine_resolution": 16}, {"consumer_batch_size": 0}])
 def test_settings_are_checked(changes):
     with pytest.raises(ConfigError):
         Settings(**changes)
     assert Settings(idle_speed_kph=0).variables()["idle_speed_kph"] == 0
+
+
+def test_settings_from_the_environment():
+    found = Settings.of_environment({"WAYMARK_IDLE_MINUTES": "7.5", "WAYMARK_PARTITIONS": " 3 ", "WAYMARK_DELAY_MINUTES": "", "OTHER": "x"})
+    assert found == Settings(idle_minutes=7.5, partitions=3)
+    for name, text in (("IDLE_MINUTES", "soon"), ("PARTITIONS", "2.5"), ("DELAY_MINUTES", "0")):
+        with pytest.raises(ConfigError):
+            Settings.of_environment({f"WAYMARK_{name}": text})

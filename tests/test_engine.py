@@ -154,3 +154,29 @@ def test_json_lines_and_pacing(spark, tmp_path, day):
     assert good.count() == len(run.pings)
     due = files.paced(spark, good, 100.0).agg(F.min("due_seconds"), F.max("due_seconds"), F.count_distinct("due_seconds")).first()
     assert due[0] == 0 and due[1] == pytest.approx((len(run.pings) - 1) / 100) and due[2] == len(run.pings)
+
+
+@pytest.mark.parametrize("stop", [{"idle_timeout": 2.0}, {"max_messages": 1}])
+def test_a_stream_stops_when_it_has_had_enough(spark, tmp_path, day, stop):
+    run, corrupt = day
+    w = seeded(spark, tmp_path / "w", run)
+    files.publish_in_order(simulator.message_frame(spark, run, corrupt), str(tmp_path / "m"), 4000)
+    query = ingest.run(w, files.stream(spark, path=str(tmp_path / "m")), str(tmp_path / "c"), SETTINGS, every="0 seconds", **stop)
+    batches = w.read("meta.ingest_batches").count()
+    assert not query.isActive and (batches >= 1 if "max_messages" in stop else w.read("raw.pings").count() == len(run.pings))
+
+
+def test_states_are_read_from_the_last_batch_that_repeats_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "STATE_BATCHES", 2)
+    w = Warehouse(spark, str(tmp_path))
+    w.init()
+    for k, rows in enumerate([[("a", "a0"), ("b", "b0")], [("a", "a1"), ("b", "b0")], [("a", "a2")], [("c", "c3"), ("a", "a2"), ("b", "b0")]]):
+        w.write_batch("stream.vehicle_state", spark.createDataFrame(rows, "vehicle_id STRING, state STRING"), k)
+    for batch, want in ((0, {}), (2, {"a": "a1", "b": "b0"}), (3, {"a": "a2", "b": "b0"}), (4, {"a": "a2", "b": "b0", "c": "c3"})):
+        assert {r.vehicle_id: r.state for r in ingest.latest_states(w, batch).collect()} == want
+
+
+def test_a_producer_may_look_at_its_messages_first(spark, day):
+    run, corrupt = day
+    rows = simulator.message_frame(spark, run, corrupt)
+    assert files.refused(rows).count() == len(corrupt) == 12 and files.refused(simulator.message_frame(spark, run, [])).count() == 0

@@ -118,3 +118,55 @@ def test_a_test_that_cannot_run_is_an_error_not_a_failure(spark, tmp_path):
     w.init()
     done = checks.run(w, [Check("dim_zone", "not_null", column="name")])
     assert (done["failed"], done["errored"]) == (0, 1)
+
+
+def test_readers_of_the_version_before_still_find_it(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    for n in (1, 2, 3):
+        w.replace("mart.t", spark.range(n))
+        if n == 1:
+            first = w.read("mart.t")
+        if n == 2:
+            second = w.read("mart.t")
+            assert first.count() == 1
+    assert second.count() == 2 and w.read("mart.t").count() == 3 and Warehouse(spark, str(tmp_path)).read("mart.t").count() == 3
+    assert len(w._pointers("mart.t")) == 2
+
+
+def test_an_increment_rewrites_only_the_partitions_of_its_rows(spark, tmp_path):
+    r, rows = Registry(), {"now": [(1, "a", 1, 0), (1, "b", 1, 0), (2, "a", 2, 0)]}
+    r.add(made("parts", materialized="incremental", unique_key=("id", "kind"), partition_by="day", build=lambda ctx: spark.createDataFrame(rows["now"], "id INT, kind STRING, day INT, n INT")))
+    w = Warehouse(spark, str(tmp_path))
+    w.init()
+    dag.run(w, {}, registry=r)
+    rows["now"] = [(1, "b", 1, 9), (3, "a", 3, 9)]
+    before = {x.input_file for x in w.read("mart.parts").where("day = 2").selectExpr("input_file_name() AS input_file").collect()}
+    assert dag.run(w, {}, registry=r)["status"] == "success"
+    assert sorted(map(tuple, w.read("mart.parts").select("id", "kind", "day", "n").collect())) == [(1, "a", 1, 0), (1, "b", 1, 9), (2, "a", 2, 0), (3, "a", 3, 9)]
+    assert before == {x.input_file for x in w.read("mart.parts").where("day = 2").selectExpr("input_file_name() AS input_file").collect()}
+
+
+def test_a_view_is_there_for_another_process(spark, tmp_path):
+    r = Registry()
+    r.add(made("seen", materialized="view", build=lambda ctx: spark.range(5)))
+    w = Warehouse(spark, str(tmp_path))
+    w.init()
+    dag.run(w, {}, registry=r)
+    again = Warehouse(spark, str(tmp_path))
+    with pytest.raises(LookupError):
+        again.read("mart.seen")
+    dag.define_views(again, {}, r.models)
+    assert again.exists("mart.seen") and again.read("mart.seen").count() == 5
+
+
+def test_rules_of_one_row_are_counted_together_and_a_broken_one_alone(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, str(tmp_path))
+    w.init()
+    r = Registry()
+    r.add(made("t", folder="marts", build=lambda ctx: spark.createDataFrame([(1, "a"), (None, "b")], "id INT, kind STRING")))
+    monkeypatch.setattr(checks, "REGISTRY", r)
+    dag.run(w, {}, registry=r)
+    own = [Check("t", "not_null", column="id"), Check("t", "accepted_values", column="kind", values=("a", "b")), Check("t", "unique", column="id")]
+    assert [(x["status"], x["failing"]) for x in checks.run(w, own)["results"]] == [("fail", 1), ("pass", 0), ("pass", 0)]
+    bad = [*own, Check("t", "assert_expression", expression="nowhere > 1")]
+    assert [x["status"] for x in checks.run(w, bad)["results"]] == ["fail", "pass", "pass", "error"]

@@ -6,6 +6,7 @@ Exit codes: 0 done, 1 something was refused, failed or found, 2 wrong use.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 from collections.abc import Callable, Sequence
 from pathlib import Path
@@ -27,9 +28,10 @@ class App:
         self.args = args
         self.spark = ship(session(**{"spark_sql_shuffle_partitions": str(args.shuffle_partitions)}))
         self.spark.sparkContext.setLogLevel("ERROR")
-        self.settings = Settings()
+        self.settings = Settings.of_environment(os.environ)
         self.config: FleetConfig = load(args.config) if args.config else demo()
         self.warehouse = Warehouse(self.spark, args.root)
+        dag.define_views(self.warehouse, self.settings.variables())
         self.messages = f"{args.root}/_messages"
 
     def table(self, name: str) -> DataFrame:
@@ -62,12 +64,12 @@ class App:
             rows.selectExpr("CAST(value AS STRING) AS value").coalesce(1).write.mode("overwrite").text(a.out)
             return 0
         self.warehouse.replace("ref.trips", reference.upsert(self.warehouse.read("ref.trips"), simulator.trip_frame(self.spark, run), "trip_id"))
-        files.publish_in_order(rows, self.messages, self.settings.consumer_batch_size)
+        files.publish_in_order(rows, self.messages, self.settings.consumer_batch_size, a.rate or None)
         return 0
 
     def consume(self) -> int:
         source = files.stream(self.spark, path=self.messages, files_per_trigger=self.args.files_per_batch)
-        ingest.run(self.warehouse, source, f"{self.args.root}/_checkpoint", self.settings, available_now=not self.args.idle_timeout, timeout=self.args.idle_timeout or None)
+        ingest.run(self.warehouse, source, f"{self.args.root}/_checkpoint", self.settings, available_now=not (self.args.idle_timeout or self.args.max_messages), idle_timeout=self.args.idle_timeout or None, max_messages=self.args.max_messages or None)
         ingest.publish_episodes(self.warehouse)
         rejected = self.warehouse.read("raw.pings_dead_letter").count()
         print(f"{self.warehouse.read('raw.pings').count()} pings landed, {rejected} messages rejected")
@@ -139,14 +141,15 @@ def parser() -> argparse.ArgumentParser:
 
     number = lambda n, kind=int: dict(type=kind, default=n)
     wait, pick = ("--idle-timeout", number(0.0, float)), ("--select", dict(nargs="*"))
+    most = ("--max-messages", number(0))
     batch, fresh = ("--files-per-batch", number(1)), ("--full-refresh", dict(action="store_true"))
     command("init-db")
     command("seed")
-    command("simulate", ("--hours", number(8.0, float)), ("--seed", dict(type=int)), ("--incidents", dict(action=argparse.BooleanOptionalAction, default=True)), ("--corrupt", number(0)), ("--out", {}), ("--dry-run", dict(action="store_true")))
-    command("consume", wait, batch)
+    command("simulate", ("--hours", number(8.0, float)), ("--seed", dict(type=int)), ("--incidents", dict(action=argparse.BooleanOptionalAction, default=True)), ("--corrupt", number(0)), ("--rate", number(0.0, float)), ("--out", {}), ("--dry-run", dict(action="store_true")))
+    command("consume", wait, most, batch)
     command("transform", pick, fresh)
     command("test", pick)
-    command("pipeline", wait, batch, pick, fresh)
+    command("pipeline", wait, most, batch, pick, fresh)
     command("alerts", ("--type", {}), ("--severity", {}), ("--vehicle", {}), ("--open", dict(action="store_true")), ("--limit", number(25)))
     command("trips", ("--vehicle", {}), ("--limit", number(20)))
     command("vehicles")

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.operators.landing import delete_insert
 from waymark.plans.warehouse import Warehouse
@@ -31,10 +32,17 @@ class Model:
     folder: str
     build: Callable[[Context], DataFrame]
     materialized: str = "table"
-    unique_key: str | None = None
+    #: One column, or several.
+    unique_key: str | tuple[str, ...] | None = None
+    #: A column that a key's row never changes: an incremental run rewrites only the partitions that its rows fall in.
+    partition_by: str | None = None
     sort_by: tuple[str, ...] = ()
     refs: tuple[str, ...] = ()
 
+    @property
+    def key(self) -> tuple[str, ...]:
+        return (self.unique_key,) if isinstance(self.unique_key, str) else tuple(self.unique_key or ())
+
     @property
     def table(self) -> str:
         return f"{LAYER[self.folder]}.{self.name}"
@@ -169,6 +177,7 @@ def run(warehouse: Warehouse, variables: Mapping[str, object], *, names: Iterabl
     """
     models = (registry or REGISTRY).models
     spark: SparkSession = warehouse.spark
+    define_views(warehouse, variables, models)
     run_id, states, log = uuid.uuid4().hex, {}, []
     for name in select(models, names):
         m, began = models[name], _now()
@@ -189,6 +198,19 @@ def run(warehouse: Warehouse, variables: Mapping[str, object], *, names: Iterabl
     return {"run_id": run_id, "status": status, "models": [dict(zip(("name", "status", "rows", "error"), (x[1], x[4], x[5], x[8]))) for x in log]}
 
 
+def define_views(warehouse: Warehouse, variables: Mapping[str, object], models: Mapping[str, Model] | None = None) -> None:
+    """Let the warehouse make recorded views of ``models`` again."""
+    known = models or REGISTRY.models
+
+    def define(table: str) -> DataFrame:
+        for m in known.values():
+            if m.table == table:
+                return m.build(Context(variables, warehouse.read, lambda n: warehouse.read(known[n].table)))
+        raise LookupError(f"no model defines the view {table!r}")
+
+    warehouse.definitions = define
+
+
 def _materialise(warehouse: Warehouse, m: Model, models: Mapping[str, Model], variables: Mapping[str, object], full_refresh: bool) -> int:
     grows = m.materialized == "incremental" and not full_refresh and warehouse.exists(m.table)
     old = warehouse.read(m.table) if grows else None
@@ -196,8 +218,13 @@ def _materialise(warehouse: Warehouse, m: Model, models: Mapping[str, Model], va
     rows = m.build(context)
     if m.materialized == "view":
         warehouse.view(m.table, rows)
+    elif grows and m.partition_by:
+        # Only the partitions of the stage's rows are read, and written.
+        touched = rows.select(m.partition_by).distinct()
+        beside = old.join(touched.withColumnRenamed(m.partition_by, "_part"), F.col(m.partition_by).eqNullSafe(F.col("_part")), "left_semi")
+        warehouse.replace_partitions(m.table, delete_insert(beside, rows, *m.key), m.partition_by, m.sort_by)
     elif grows:
-        warehouse.replace(m.table, delete_insert(old, rows, m.unique_key), sort_by=m.sort_by)
+        warehouse.replace(m.table, delete_insert(old, rows, *m.key), sort_by=m.sort_by)
     else:
-        warehouse.replace(m.table, rows, sort_by=m.sort_by)
+        warehouse.replace(m.table, rows, (m.partition_by,) if m.partition_by else (), m.sort_by)
     return warehouse.read(m.table).count()

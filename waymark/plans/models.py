@@ -30,7 +30,7 @@ def _fresh(ctx: Context, rows: DataFrame, moment: str) -> DataFrame:
     return recent(rows, moment, ctx.this().agg(F.max(moment)).first()[0]) if ctx.is_incremental() else rows
 
 
-@model("staging", materialized="incremental", unique_key="ping_id", sort_by=("vehicle_id", "recorded_at"))
+@model("staging", materialized="incremental", unique_key="ping_id", partition_by="recorded_date", sort_by=("vehicle_id", "recorded_at"))
 def stg_pings(ctx: Context) -> DataFrame:
     """One typed row per landed ping."""
     p = _fresh(ctx, ctx.source("raw.pings"), "ingested_at")
@@ -41,7 +41,7 @@ def stg_pings(ctx: Context) -> DataFrame:
     )
 
 
-@model("staging", materialized="incremental", unique_key="detection_key", sort_by=("vehicle_id", "started_at"))
+@model("staging", materialized="incremental", unique_key="detection_key", partition_by="started_date", sort_by=("vehicle_id", "started_at"))
 def stg_detections(ctx: Context) -> DataFrame:
     """One typed row per episode."""
     d = _fresh(ctx, ctx.source("stream.episodes"), "updated_at")
@@ -235,7 +235,7 @@ def agg_zone_activity(ctx: Context) -> DataFrame:
 
 
 @model("marts")
-def agg_h3_activity(ctx: Context) -> DataFrame:
+def agg_cell_activity(ctx: Context) -> DataFrame:
     """One row per date and cell with pings: the heat map's grid."""
     speed = F.when(F.col("is_moving"), F.col("implied_speed_kph").cast("decimal(12,2)"))
     g = ctx.ref("int_ping_segments").groupBy(F.col("recorded_date").alias("activity_date"), "cell_r8").agg(

@@ -102,7 +102,7 @@ def _cells(t: Tables) -> DataFrame:
     """Per cell over all days; the means are unweighted means of the days' own."""
     hours = lambda c: rounded(F.sum(c).cast("double") / 3600.0, 2)
     typical = lambda c, n: rounded(mean(F.col(c).cast("decimal(16,6)")), n)
-    return t("agg_h3_activity").groupBy("cell_r8").agg(
+    return t("agg_cell_activity").groupBy("cell_r8").agg(
         F.sum("pings").alias("pings"), F.max("vehicles").alias("vehicles"), hours("stopped_seconds").alias("stopped_hours"), hours("moving_seconds").alias("moving_hours"), typical("avg_moving_kph", 1).alias("avg_moving_kph"), typical("stopped_share_pct", 1).alias("stopped_share_pct"),
         typical("mean_lat", 5).alias("mean_lat"), typical("mean_lon", 5).alias("mean_lon"), F.sum("stopped_seconds").alias("stopped"),
     )

@@ -255,7 +255,7 @@ FLEET: dict[str, Query] = {
     "final_trip": Query(lambda w: w.ref("fct_trips").where("is_final_trip"), "trip_id vehicle_id planned_start_at#t", "(SELECT * FROM final_trips WHERE is_final_trip)"),
     "daily_fleet_full_outer": Query(lambda w: w.ref("agg_daily_fleet"), f"activity_date#y vehicle_type active_vehicles#l pings#l distance_km#d {SECONDS} unobserved_seconds#d idling_engine_seconds#d max_speed_kph#d utilisation_pct#d coverage_pct#d engine_idle_share_pct#d trips_planned#l trips_completed#l trips_on_time#l trips_without_telemetry#l on_time_pct#d avg_finish_delay_minutes#d alerts#l critical_alerts#l alerts_per_100km#d", "daily"),
     "zone_activity_dense": Query(lambda w: w.ref("agg_zone_activity"), "activity_date#y zone_id zone_name zone_kind max_dwell_minutes#d area_km2#d visits#l closed_visits#l vehicles#l dwell_seconds#d dwell_hours#d avg_dwell_minutes#d max_dwell_minutes_observed#d breaches#l entry_breaches#l dwell_breaches#l worst_dwell_minutes#d dwell_breach_rate_pct#d", "zone_days"),
-    "cell_activity": Query(lambda w: w.ref("agg_h3_activity"), f"activity_date#y cell_r8 pings#l vehicles#l trips#l distance_km#d {SECONDS} observed_seconds#d avg_moving_kph#d min_moving_kph#d stopped_share_pct#d mean_lat#d mean_lon#d", "cells"),
+    "cell_activity": Query(lambda w: w.ref("agg_cell_activity"), f"activity_date#y cell_r8 pings#l vehicles#l trips#l distance_km#d {SECONDS} observed_seconds#d avg_moving_kph#d min_moving_kph#d stopped_share_pct#d mean_lat#d mean_lon#d", "cells"),
     # Reports
     "ingest_overview": Query(lambda w: reports.ingest_overview(lambda n: w[n] if n == "raw.pings" else adapter.readings(w.spark, w.sf_dir).where("NOT (speed_kph BETWEEN 0 AND 250 AND (ignition OR speed_kph <= 25))")), "pings#l vehicles#l trips#l first_ping_at#t last_ping_at#t dead_letters#l", "(SELECT count(*) AS pings, count(DISTINCT vehicle_id) AS vehicles, count(DISTINCT trip_id) AS trips, min(recorded_at) AS first_ping_at, max(recorded_at) AS last_ping_at, (SELECT count(*) FROM readings) - count(*) AS dead_letters FROM pings)"),
     "open_episodes": Query(lambda w: reports.open_episodes(w.table), "detection_type severity vehicle_id zone_id started_at#t magnitude#d", "(SELECT * FROM episodes WHERE ended_at IS NULL)"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waymark.sources import messages as contract
 from waymark.sources import schemas
 
 
@@ -35,16 +37,25 @@ def publish(rows: DataFrame, path: str, *, servers: str | None = None, topic: st
         rows.write.mode("append").parquet(path)
 
 
-def publish_in_order(rows: DataFrame, path: str, size: int) -> int:
+def refused(rows: DataFrame) -> DataFrame:
+    """offset and error of those MESSAGES that the contract refuses: what a careful producer looks at before it publishes."""
+    return contract.rejected(contract.decoded(rows)).select("offset", "error")
+
+
+def publish_in_order(rows: DataFrame, path: str, size: int, rate: float | None = None) -> int:
     """Append MESSAGES file after file, ``size`` offsets each, as a file stream takes them by their times; the number of files.
 
-    A topic keeps order within a partition by itself; this is for its stand-in.
+    A topic keeps order within a partition by itself; this is for its stand-in.  With
+    ``rate``, in messages a second, a file is not begun before its first message is due.
     """
+    began = time.monotonic()
     low, high = rows.agg(F.min("offset"), F.max("offset")).first()
     if low is None:
         return 0
     starts = range(low, high + 1, size)
     for start in starts:
+        if rate:
+            time.sleep(max(0.0, began + (start - low) / rate - time.monotonic()))
         publish(rows.where(F.col("offset").between(start, start + size - 1)).coalesce(1).sortWithinPartitions("offset"), path)
     return len(starts)
 
@@ -72,6 +83,6 @@ def paced(spark: SparkSession, pings: DataFrame, rate: float) -> DataFrame:
     """
     parts = spark.sparkContext.defaultParallelism
     dealt = pings.repartitionByRange(parts, "recorded_at", "ping_id").sortWithinPartitions("recorded_at", "ping_id").withColumn("_p", F.spark_partition_id()).withColumn("_k", F.monotonically_increasing_id() % (1 << 33))
-    sizes = dealt.groupBy("_p").count()
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy(F.col("a._p").alias("_p")).agg(F.coalesce(F.sum("b.count"), F.lit(0)).alias("_b"))  # as many rows as partitions
+    sizes = dealt.groupBy("_p").count()  # as many rows as partitions
+    before = sizes.select("_p", (F.sum("count").over(Window.orderBy("_p")) - F.col("count")).alias("_b"))
     return dealt.join(F.broadcast(before), "_p").withColumn("due_seconds", (F.col("_b") + F.col("_k")) / float(rate)).drop("_p", "_k", "_b")

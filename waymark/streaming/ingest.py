@@ -10,6 +10,7 @@ Duplicates are sought among all pings ever landed, not in a window of them.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
@@ -32,8 +33,12 @@ STATE_BATCHES = 50
 
 
 def latest_states(warehouse: Warehouse, batch_id: int) -> DataFrame:
-    """vehicle_id, state: of each vehicle that reported in an earlier batch, the last one written."""
-    return warehouse.before("stream.vehicle_state", batch_id).groupBy("vehicle_id").agg(F.max_by("state", "batch_id").alias("state"))
+    """vehicle_id, state: of each vehicle that reported in an earlier batch, the last one written.
+
+    The last batch that repeats all states, and those after it, are all that is read.
+    """
+    whole = batch_id // STATE_BATCHES * STATE_BATCHES - 1
+    return warehouse.before("stream.vehicle_state", batch_id).where(F.col("batch_id") >= whole).groupBy("vehicle_id").agg(F.max_by("state", "batch_id").alias("state"))
 
 
 def process(warehouse: Warehouse, batch: DataFrame, batch_id: int, settings: Settings) -> dict:
@@ -70,18 +75,41 @@ def process(warehouse: Warehouse, batch: DataFrame, batch_id: int, settings: Set
     row = (batch_id, "committed", began, datetime.now(timezone.utc), read, inserted, read - refused - inserted, refused, found, None)
     warehouse.write_batch("meta.ingest_batches", spark.createDataFrame([row], schemas.BATCHES), batch_id)
     for path in (staged, both):
-        fs, where = warehouse._file(path)
-        fs.delete(where, True)
+        warehouse._remove(path)
     return dict(zip([x.split()[0] for x in schemas.BATCHES.split(", ")], row))
 
 
-def run(warehouse: Warehouse, source: DataFrame, checkpoint: str, settings: Settings, *, available_now: bool = True, every: str | None = None, timeout: float | None = None) -> StreamingQuery:
-    """Start the query; with ``available_now`` it ends by itself once all that is there has been read."""
-    writer = source.writeStream.foreachBatch(lambda batch, batch_id: process(warehouse, batch, batch_id, settings)).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every or f"{settings.batch_timeout_seconds} seconds")
-    query = writer.start()
-    if available_now or timeout:
-        query.awaitTermination(timeout)
+def run(warehouse: Warehouse, source: DataFrame, checkpoint: str, settings: Settings, *, available_now: bool = True, every: str | None = None, idle_timeout: float | None = None, max_messages: int | None = None) -> StreamingQuery:
+    """Start the query.
+
+    With ``available_now`` it ends by itself once all that is there has been read.
+    Otherwise it goes on until nothing has come for ``idle_timeout`` seconds or
+    ``max_messages`` have been read, whichever is first, and is stopped between batches;
+    with neither it is returned running.
+    """
+    done = {"read": 0, "at": time.monotonic(), "busy": False}
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        done["busy"] = True
+        read = process(warehouse, batch, batch_id, settings)["messages_read"]
+        done.update(read=done["read"] + read, busy=False)
+        if read:
+            done["at"] = time.monotonic()
+
+    writer = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    if available_now:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+    query = writer.trigger(processingTime=every or f"{settings.batch_timeout_seconds} seconds").start()
+    if idle_timeout is None and max_messages is None:
+        return query
+    while not query.awaitTermination(0.2):
+        enough = max_messages is not None and done["read"] >= max_messages
+        silent = idle_timeout is not None and time.monotonic() - done["at"] >= idle_timeout
+        if (enough or silent) and not done["busy"]:
+            query.stop()
+            break
     return query
 
 
