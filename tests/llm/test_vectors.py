@@ -74,3 +74,33 @@ def test_rows_that_take_no_part_and_few_candidates(spark, operator, zero):
 def test_repeated_and_null_ids(spark):
     rows = spark.createDataFrame([(20, [1.0]), (20, [1.0]), (1, [0.5]), (1, [0.5]), (None, [9.0])], "vec_id LONG, embedding ARRAY<FLOAT>")
     assert [(r.query_id, r.vec_id, r.score) for r in maxscore.exact_top(rows).collect()] == [(20, 1, 64 * 32)]
+
+
+@pytest.mark.parametrize("sample", [0, 25, 300])
+def test_maxscore_finds_the_same_from_any_first_thresholds(sample):
+    r = np.random.default_rng(sample)
+    x = np.floor(r.normal(size=(500, 24)) * r.gamma(0.3, 40, 24))
+    x[r.random(x.shape) < 0.5] = 0
+    ids, q = np.arange(500), x[:40]
+    seen = (ids[-sample:], x[-sample:]) if sample else None
+    names, found, scores = maxscore.search(ids, x, ids[:40], q, 7, seen)
+    for k in range(40):
+        want = sorted((-int(x[k] @ x[i]), i) for i in range(500) if i != k)[:7]
+        assert [(-int(s), int(i)) for n, i, s in zip(names, found, scores) if n == k] == want
+
+
+def test_other_terms_never_reach_a_threshold():
+    r = np.random.default_rng(2)
+    bound, threshold = r.gamma(0.5, 10, (9, 30)), r.gamma(3, 10, 9)
+    essential, others = maxscore.split(bound, threshold)
+    assert sorted([*essential, *others]) == list(range(30)) and len(others) and (bound[:, others].sum(1) < threshold).all()
+    assert len(maxscore.split(bound, threshold * 0 - 1)[1]) == 0
+
+
+@pytest.mark.parametrize("operator", [maxscore.exact_top, anisotropic.nearest])
+def test_vectors_of_each_length_find_their_like(spark, operator):
+    rows = {k: [1.0 + k % 7] * (2 + k % 3) for k in range(200)}
+    found: dict = {}
+    for x in operator(frame(spark, rows)).collect():
+        found.setdefault(x.query_id, []).append(x.vec_id)
+    assert set(found) == set(range(0, 200, 20)) and all(len(v) == 20 and all(len(rows[i]) == len(rows[q]) for i in v) for q, v in found.items())

@@ -3,15 +3,17 @@
 Vectors are cut into pairs of components, each coded by one of 16 centres, so
 four bits a pair.  Codes and centres are chosen to lessen a loss that weighs the
 part of the residual along the vector, which changes large inner products,
-``eta`` times as much as the part across it.  Codebooks are fitted on a bounded
-sample, ``SAMPLE`` vectors of the smallest hashes; every vector is coded, in the
-task of its shard.  A query becomes tables of its products with the centres, two
+``eta`` times as much as the part across it.  Codebooks are fitted, for each length of vectors, on a bounded
+sample, at most ``SAMPLE`` vectors of the smallest hashes and ``SAMPLE_COMPONENTS``
+numbers; every vector is coded, in the task of its shard.  A query becomes tables of its products with the centres, two
 pairs at a time (256 entries for a byte of two codes); a scan of the shard's
 bytes ranks it, and the ``shortlist`` best of every shard are ranked anew by exact
-inner products in double precision, which alone are returned.
+inner products in double precision, which alone are returned.  The shortlist is
+``shortlist`` for every ``SHORTLIST_ROWS`` rows of a shard, so that recall does not fall
+as shards grow.  Vectors of a length that the sample lacks are compared exactly.
 
-Zero vectors take no part; for nulls, repeated rows and lengths see
-:func:`waymark.llm.vectors.clean`.
+Zero vectors take no part; for nulls, repeated rows, empty tables and other columns see
+:func:`waymark.llm.vectors.clean`, for lengths :func:`waymark.llm.vectors.in_blocks`.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ import pickle
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from waymark.llm.vectors import clean, in_blocks, top
+from waymark.llm.common import fitted
+from waymark.llm.vectors import clean, in_blocks, sample, top
 
-SAMPLE, CENTRES, WIDTH = 8192, 16, 2
+SAMPLE, SAMPLE_COMPONENTS, CENTRES, WIDTH = 8192, 1 << 20, 16, 2
+SHORTLIST_ROWS = 4096
 #: The share of a vector's length from which inner products matter; sets eta.
 REACH = 0.2
 ROUNDS, SWEEPS = 6, 2
@@ -92,17 +95,19 @@ def tables(q: np.ndarray, books: np.ndarray) -> np.ndarray:
     return (single[:, ::2, None, :] + single[:, 1::2, :, None]).reshape(len(q), -1, CENTRES * CENTRES).astype(np.float32)
 
 
-def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, books: np.ndarray, shortlist: int) -> tuple:
-    packed = pack(encode(x, books, eta(x.shape[1])))
+def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, books: np.ndarray | None, shortlist: int) -> tuple:
+    short = max(k + 1, -(-shortlist * len(ids) // SHORTLIST_ROWS) if len(ids) > SHORTLIST_ROWS else shortlist)
+    packed = pack(encode(x, books, eta(x.shape[1]))) if books is not None and short < len(ids) else None
     out: tuple[list, list, list] = ([], [], [])
     for at in range(0, len(q), 64):
-        own = tables(q[at : at + 64], books)
-        near = np.zeros((len(own), len(ids)), np.float32)
-        for m in range(len(packed)):
-            near += own[:, m][:, packed[m]]
-        for name, query, row in zip(query_ids[at : at + 64], q[at : at + 64], near):
-            row[ids == name] = -np.inf
-            some = np.argpartition(-row, shortlist)[:shortlist] if len(row) > shortlist else np.arange(len(row))
+        near = None
+        if packed is not None:
+            own = tables(q[at : at + 64], books)
+            near = np.zeros((len(own), len(ids)), np.float32)
+            for m in range(len(packed)):
+                near += own[:, m][:, packed[m]]
+        for j, (name, query) in enumerate(zip(query_ids[at : at + 64], q[at : at + 64])):
+            some = np.arange(len(ids)) if near is None else np.argpartition(near[j], len(ids) - short)[len(ids) - short :]
             some = some[ids[some] != name]
             exact = x[some] @ query
             keep = top(exact, ids[some], k)
@@ -112,10 +117,19 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
     return tuple(np.concatenate(part) for part in out)
 
 
+def _books(rows: list[tuple]) -> dict[int, np.ndarray]:
+    by_length: dict[int, list] = {}
+    for _, v in rows:
+        by_length.setdefault(len(v), []).append(v)
+    return {d: fit(np.array(own)) for d, own in by_length.items()}
+
+
 def nearest(table: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20, shortlist: int = 160, **sizes) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by ``every``, the k largest inner products found."""
     rows = clean(table, vec_id=vec_id, vector=vector, zero=False)
-    sample = np.array([r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()])  # at most SAMPLE vectors
-    books = fit(sample) if len(sample) else np.zeros((0, CENTRES, WIDTH))
-    sent = table.sparkSession.sparkContext.broadcast(pickle.dumps(books))
-    return in_blocks(rows, lambda ids, x, names, q: search(ids, x, names, q, k, pickle.loads(sent.value), max(shortlist, k + 1)), every=every, k=k, score="double", **sizes)
+    sent = table.sparkSession.sparkContext.broadcast(fitted(sample(rows, SAMPLE, SAMPLE_COMPONENTS), _books))
+
+    def of_shard(ids: np.ndarray, x: np.ndarray, names: np.ndarray, q: np.ndarray) -> tuple:
+        return search(ids, x, names, q, k, pickle.loads(sent.value).get(x.shape[1]), shortlist)
+
+    return in_blocks(rows, of_shard, every=every, k=k, score="double", **sizes)

@@ -10,69 +10,105 @@ the essential terms are traversed; the rest are probed in order of falling bound
 for documents whose gain so far plus the bounds left still reaches the threshold.
 Ties reach it too, so results are exact.  Shards are merged at the end.
 
-See :func:`waymark.llm.vectors.clean` for nulls, repeated rows and lengths, and
-:func:`waymark.llm.vectors.in_blocks` for how queries and shards meet.
+All shards begin with one threshold: the k-th best score of a query among a bounded
+sample of all vectors, which the final k-th best cannot be below.  A shard that has
+nothing to reach it gives nothing.
+
+See :func:`waymark.llm.vectors.clean` for nulls, repeated rows, empty tables and other
+columns, and :func:`waymark.llm.vectors.in_blocks` for lengths and for how queries and
+shards meet.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.vectors import clean, in_blocks, top
+from waymark.llm.common import fitted
+from waymark.llm.vectors import clean, in_blocks, sample, top
+
+#: Vectors, and their numbers, of the sample that gives the first thresholds.
+SAMPLE, SAMPLE_COMPONENTS = 4096, 1 << 19
+#: Queries that share their essential terms, and terms probed at a time.
+BLOCK, PROBE = 32, 6
+
+
+def first_thresholds(names: np.ndarray, q: np.ndarray, k: int, seen: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray | None:
+    """For each query the k-th best score among the vectors ``seen`` (ids, vectors), its own apart; none where they are too few."""
+    if seen is None or len(seen[0]) <= k:
+        return None
+    scores = q @ seen[1].T.astype(q.dtype)
+    scores[names[:, None] == seen[0][None, :]] = np.iinfo(np.int64).min if q.dtype == np.int64 else -np.inf
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
 
-#: Documents scored in full before there is a threshold, and terms probed at a time.
-FIRST, PROBE = 256, 6
 
+def split(bound: np.ndarray, threshold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(essential, other) terms of a block of queries: for none of them do the others' bounds together reach its threshold."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = np.where(bound > 0, bound / np.maximum(threshold, 0)[:, None], 0.0).max(0)
+    order = np.argsort(share, kind="stable")
+    idle = int(np.searchsorted(np.cumsum(share[order]), 1 - 1e-9, "left"))
+    return np.sort(order[idle:]), order[:idle]
 
-def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of the k best of one shard for each query; ids ascending, all numbers whole."""
+
+def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, seen: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score) of the k best of one shard for each query, of those that may be among the k best of all; ids ascending, all numbers whole."""
     widest = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1])
+    if seen is not None:
+        widest = max(widest, float(np.abs(seen[1]).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1]))
     kind = np.float64 if widest < 2**53 else np.int64  # doubles are exact, and faster, as long as every sum fits
     postings = np.ascontiguousarray(x.T.astype(kind))
     low, high = postings.min(1), postings.max(1)
     out: tuple[list, list, list] = ([], [], [])
-    for name, query in zip(query_ids, q.astype(kind)):
-        ends = np.stack((query * low, query * high))
-        floor, bound = ends.min(0), ends.max(0) - ends.min(0)
-        order = np.argsort(bound, kind="stable")
-        upto = np.cumsum(bound[order])
-        first = min(FIRST, len(ids))
-        gains = query @ postings[:, :first] - floor.sum()
-        others = ids[:first] != name
-        best_ids, best = ids[:first][others], gains[others]
-        keep = top(best, best_ids, k)
-        best_ids, best = best_ids[keep], best[keep]
-        if first < len(ids):
-            full = len(best) >= k
-            threshold = best[-1] if full else -1
-            idle = int(np.searchsorted(upto, threshold, "left")) if full else 0
-            essential = np.sort(order[idle:])
-            gains = query[essential] @ postings[essential, first:] - floor[essential].sum()
-            left = upto[idle - 1] if idle else 0
-            alive = np.flatnonzero(gains + left >= threshold) + first
-            gains = gains[alive - first]
-            at = idle
-            while at > 0 and len(alive):
-                terms = order[max(0, at - PROBE) : at]
-                at -= len(terms)
-                gains = gains + query[terms] @ postings[np.ix_(terms, alive)] - floor[terms].sum()
-                left = upto[at - 1] if at else 0
-                still = gains + left >= threshold
-                alive, gains = alive[still], gains[still]
-            others = ids[alive] != name
-            best_ids, best = np.concatenate((best_ids, ids[alive][others])), np.concatenate((best, gains[others]))
-            keep = top(best, best_ids, k)
-            best_ids, best = best_ids[keep], best[keep]
-        out[0].append(np.full(len(best), name, np.int64))
-        out[1].append(best_ids)
-        exact = best + floor.sum()
-        out[2].append(exact if exact.dtype == np.int64 else np.rint(exact).astype(np.int64))
+    for at in range(0, len(q), BLOCK):
+        names, own = query_ids[at : at + BLOCK], q[at : at + BLOCK].astype(kind)
+        floor, ceiling = np.minimum(own * low, own * high), np.maximum(own * low, own * high)
+        bound, base = ceiling - floor, floor.sum(1)
+        first = first_thresholds(names, own, k, seen)
+        threshold = np.full(len(own), -1, kind) if first is None else first - base
+        essential, others = split(bound, threshold)
+        gains = own[:, essential] @ postings[essential] - floor[:, essential].sum(1)[:, None]
+        for j, name in enumerate(names):
+            left, least = bound[j, others].sum(), threshold[j]
+            probes = others[np.argsort(-bound[j, others], kind="stable")]
+            alive = np.flatnonzero(gains[j] + left >= least)
+            gain = gains[j, alive]
+            for c in range(0, len(probes), PROBE):
+                if not len(alive):
+                    break
+                terms = probes[c : c + PROBE]
+                gain = gain + own[j, terms] @ postings[np.ix_(terms, alive)] - floor[j, terms].sum()
+                left = bound[j, probes[c + PROBE :]].sum()
+                if len(gain) > k:  # what is there can only grow: one more than k, as the query itself may be among them
+                    least = max(least, np.partition(gain, len(gain) - k - 1)[len(gain) - k - 1])
+                still = gain + left >= least
+                alive, gain = alive[still], gain[still]
+            rest = ids[alive] != name
+            alive, gain = alive[rest], gain[rest]
+            keep = top(gain, ids[alive], k)
+            exact = gain[keep] + base[j]
+            out[0].append(np.full(len(keep), name, np.int64))
+            out[1].append(ids[alive[keep]])
+            out[2].append(exact if exact.dtype == np.int64 else np.rint(exact).astype(np.int64))
     return tuple(np.concatenate(part) for part in out)
 
 
+def _seen(rows: list[tuple]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    by_length: dict[int, list] = {}
+    for name, v in rows:
+        by_length.setdefault(len(v), []).append((name, v))
+    return {d: (np.array([n for n, _ in own], np.int64), np.array([v for _, v in own])) for d, own in by_length.items()}
+
+
 def exact_top(table: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 64, every: int = 20, k: int = 20, **sizes) -> DataFrame:
     """query_id, rank, vec_id, score: inner products of floor(scale * component), largest first, ties to the smaller id."""
     whole = clean(table, vec_id=vec_id, vector=vector).select("vec_id", F.transform("v", lambda x: F.floor(x * float(scale)).cast("double")).alias("v"))
-    return in_blocks(whole, lambda ids, x, names, q: search(ids, x, names, q, k), every=every, k=k, score="long", **sizes)
+    sent = table.sparkSession.sparkContext.broadcast(fitted(sample(whole, SAMPLE, SAMPLE_COMPONENTS), _seen))
+
+    def of_shard(ids: np.ndarray, x: np.ndarray, names: np.ndarray, q: np.ndarray) -> tuple:
+        return search(ids, x, names, q, k, pickle.loads(sent.value).get(x.shape[1]))
+
+    return in_blocks(whole, of_shard, every=every, k=k, score="long", **sizes)
