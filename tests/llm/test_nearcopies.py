@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from conftest import ODD
 from waymark.llm import nearcopies, simhash
 
@@ -70,6 +71,25 @@ def test_a_group_with_more_pairs_than_a_task_takes(spark, docs, monkeypatch):
     assert kept(docs([" ".join([*words, f"z{k}"]) for k in range(100)])) == [0]
 
 
+@pytest.mark.parametrize("nodes, hashes", [(3, 1024), (4096, 32)])
+def test_buckets_in_blocks_and_long_texts_link_alike(spark, docs, monkeypatch, nodes, hashes):
+    monkeypatch.setattr(nearcopies, "BUCKET_NODES", nodes)
+    monkeypatch.setattr(nearcopies, "LEAST_HASHES", hashes)
+    test_a_pair_behind_another_node_of_their_bucket(spark, docs)
+
+
+def test_overlaps_of_whole_and_of_cut_sets():
+    r = np.random.default_rng(4)
+    pool = r.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sets = [np.unique(r.choice(pool, k, replace=False)) for k in (5, 200, 1800, 2500, 2500)]
+    exact = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    like, _ = nearcopies._overlaps(sets[2], True, sets, np.ones(5, bool))
+    assert like.tolist() == [exact(sets[2], s) for s in sets]
+    cut = [s[:500] for s in sets]
+    like, size = nearcopies._overlaps(cut[3], False, cut, np.array([len(s) <= 500 for s in sets]))
+    assert all(abs(x - exact(sets[3], s)) < 0.12 for x, s in zip(like[2:], sets[2:])) and like[3] == 1 and (size[2:] >= 400).all()
+
+
 def test_minima_in_blocks():
     x = np.random.default_rng(1).integers(0, 1 << 63, 9000, dtype=np.uint64)
     assert (nearcopies.minima(x) == np.minimum(nearcopies.minima(x[:10]), nearcopies.minima(x[10:]))).all()

@@ -8,9 +8,15 @@ which a pair at 0.8 fails to meet in with a chance of (1 - 0.8^5)^20 = 0.0004 an
 
 Texts with the same set are one node.  In a bucket every node is compared with the
 bucket's least one, so a group of near copies does not expand into its pairs.  Where a
-bucket still holds nodes of different components, all pairs across them are compared
-as well, apart from those whose sizes or ``BANDS * ROWS`` minimum hashes rule
-``least`` out (at 0.8 a pair is ruled out wrongly with a chance of about 1e-6).
+bucket still holds nodes of different components, those of different components are
+compared as well, in the bucket's task, which gives back at most a link for each node:
+by their ``LEAST_HASHES`` least shingle hashes, which for most texts are all that they
+have, so that the comparison is exact.  Pairs of longer texts whose least hashes do not
+rule ``least`` out (wrongly with a chance of about 1e-6) are then compared as a whole.
+A bucket of more nodes than ``BUCKET_NODES`` is dealt out in blocks.
+
+Null texts and texts without words are copies of each other; long texts count whole;
+rows count as often as they occur; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,8 +33,12 @@ from waymark.llm import simhash
 from waymark.llm.common import lean, materialise, scratch, short_batches
 
 BANDS, ROWS = 20, 5
-#: Standard deviations by which the share of equal minimum hashes may stay below ``least``.
+#: Standard deviations by which an estimate may stay below ``least``.
 DEVIATIONS = 5
+#: Of a set's hashes, for the comparisons within a bucket.
+LEAST_HASHES = 1024
+#: Nodes of a bucket that a task compares with each other.
+BUCKET_NODES = 4096
 #: Pairs of one node that a task compares.
 TASK_PAIRS = 256
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,29 +112,68 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return materialise(held.select("u", "v", "u_shingles", "v_shingles").mapInArrow(lean(run), "u long, v long"))
 
 
+def _overlaps(own: np.ndarray, whole: bool, sets: list[np.ndarray], wholes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(similarity, size of what it is estimated from) of one set's least hashes with those of others; exact where both are whole."""
+    ends = np.array([len(x) for x in sets])
+    starts = np.cumsum(ends) - ends
+    values = np.concatenate(sets)
+    # Beyond the last hash of a set that was cut off, nothing is known of it.
+    top = np.uint64(np.iinfo(np.uint64).max)
+    upto = np.where(wholes, top, values[starts + ends - 1])
+    if not whole:
+        upto = np.minimum(upto, own[-1])
+    seen = values <= np.repeat(upto, ends)
+    place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+    both = np.add.reduceat((own[place] == values) & seen, starts, dtype=np.int64)
+    union = np.add.reduceat(seen, starts, dtype=np.int64) + np.searchsorted(own, upto, "right") - both
+    return both / union, union
+
+
 def _across(least: float):
+    """Links between components of a bucket: ``sure`` ones, at most one a node, and pairs of long texts that need a comparison as a whole."""
     most = BANDS * ROWS
     low = most * least - DEVIATIONS * np.sqrt(most * least * (1 - least))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
-        node, n, root = (np.asarray(table.column(c)) for c in ("node", "n", "root"))
+        node, n, label, block = (np.asarray(table.column(c)) for c in ("node", "n", "root", "block"))
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(node), -1)
-        names, group, count = np.unique(root, return_inverse=True, return_counts=True)
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("hashes")]
+        whole = n <= LEAST_HASHES
+        apart = key[1].as_py() != key[2].as_py()  # two blocks: only what lies in different ones
+        names, label = np.unique(label, return_inverse=True)
         rest = np.ones(len(node), bool)
-        us, vs = [], []
+        out = []
         # Nodes outside the largest component against all that come after them and those inside.
-        for i in np.flatnonzero(group != count.argmax()):
+        for i in np.flatnonzero(label != np.bincount(label).argmax()):
             rest[i] = False
-            near = np.flatnonzero(rest & (group != group[i]) & (np.minimum(n, n[i]) >= least * np.maximum(n, n[i]) - 1e-9))
+            near = rest & (label != label[i]) & (np.minimum(n, n[i]) >= least * np.maximum(n, n[i]) - 1e-9)
+            near = np.flatnonzero(near & (block != block[i]) if apart else near)
             near = near[(signature[near] == signature[i]).sum(1) >= low]
-            us.append(np.minimum(node[near], node[i]))
-            vs.append(np.maximum(node[near], node[i]))
-        return pa.table({"u": pa.array(np.concatenate(us), pa.int64()), "v": pa.array(np.concatenate(vs), pa.int64())})
+            if not len(near):
+                continue
+            like, size = _overlaps(sets[i], whole[i], [sets[k] for k in near], whole[near])
+            exact = whole[near] & whole[i]
+            for k in near[exact & (like >= least - 1e-9)]:
+                if label[k] != label[i]:
+                    out.append((min(node[i], node[k]), max(node[i], node[k]), True))
+                    label[label == label[k]] = label[i]
+            doubt = ~exact & (like >= least - DEVIATIONS * np.sqrt(least * (1 - least) / size))
+            out += [(min(node[i], node[k]), max(node[i], node[k]), False) for k in near[doubt] if label[k] != label[i]]
+        u, v, sure = zip(*out) if out else ((), (), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "sure": pa.array(sure, pa.bool_())})
 
     return run
 
 
+def _blocks(open_: DataFrame) -> DataFrame:
+    """``open_`` with a and b, the blocks of its bucket that a row is compared in, and block, its own; a small bucket is one block."""
+    sized = open_.withColumn("blocks", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("band")) / BUCKET_NODES).cast("int"))
+    sized = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")}).drop("other", "blocks")
+
+
 def _candidates(nodes: DataFrame, met: DataFrame, least: float) -> DataFrame:
     """u, v: each node with the least node of each of its buckets, and the links of the SimHash balls."""
     bucket = Window.partitionBy("band")
@@ -156,11 +205,15 @@ def components(rows: DataFrame, *, least: float) -> DataFrame:
     labelled = met.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     bucket = Window.partitionBy("band")
     open_ = labelled.withColumn("low", F.min("root").over(bucket)).withColumn("high", F.max("root").over(bucket)).where("low <> high")
-    open_ = open_.select("band", "node", "n", "root").join(nodes.select("node", "signature"), "node")
-    more = materialise(open_.groupBy("band").applyInArrow(_across(least), "u long, v long").distinct().join(pairs, ["u", "v"], "left_anti"))
-    if more.isEmpty():
-        return found
-    return simhash.connect(edges.unionByName(verified(more, sets(more), least)))
+    open_ = materialise(open_.select("band", "node", "n", "root"))
+    hashes = rows.select("node", F.substring("shingles", 1, 8 * LEAST_HASHES).alias("hashes")).join(materialise(open_.select("node").distinct()), "node", "left_semi")
+    known = materialise(hashes.groupBy("node").agg(F.first("hashes").alias("hashes")).join(nodes.select("node", "signature"), "node"))
+    across = materialise(_blocks(open_).join(known, "node").groupBy("band", "a", "b").applyInArrow(_across(least), "u long, v long, sure boolean").distinct())
+    edges = edges.unionByName(across.where("sure").select("u", "v"))
+    doubt = materialise(across.where("NOT sure").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti"))
+    if not doubt.isEmpty():
+        edges = edges.unionByName(verified(doubt, sets(doubt), least))
+    return simhash.connect(edges)
 
 
 def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
