@@ -63,11 +63,20 @@ def test_savings_equal_plain_compression_of_every_window(pair):
     ordinary, toxic = pair
     text = "One two, THREE (scum) four five six seven eight idiot nine."
     words = "one two three scum four five six seven eight idiot nine".split()
-    windows = [f" {' '.join(words[k : k + 6])} ".encode() for k in (0, 5)]
+    windows = [f" {' '.join(words[k : k + 4])} ".encode() for k in (0, 2, 4, 6, 8)]
     assert toxicity.windows(text) == windows
     assert toxicity.savings(text, *pair).tolist() == [length(ordinary, w) - length(toxic + ordinary, w) for w in windows]
 
 
+def test_windows_without_a_toxic_passage_would_have_saved_nothing(pair):
+    plain, other = toxicity.compressor(pair[0]).compress, toxicity.compressor(pair[1] + pair[0]).compress
+    r = random.Random(11)
+    texts = [*(sample(r, r.choice([None, *MARKERS]), 40) for _ in range(200)), *(" ".join(r.choice(("scu", "idio", "orthless", "trashy", "mor on", "été")) + r.choice(("", "ba", "xyz")) for _ in range(40)) for _ in range(60))]
+    for t in texts:
+        whole = [toxicity.PREAMBLE + w for w in toxicity.windows(t)]
+        assert toxicity.savings(t, *pair).tolist() == [len(plain(w)) - len(other(w)) for w in whole]
+
+
 def test_thresholds_are_those_of_counting():
     saved = np.random.default_rng(1).poisson(1.2, 20_000) - 1
     found, last = [], 0

@@ -13,7 +13,7 @@ word that the ordinary one covers costs the same on both sides, at the same offs
 
 Every text is cut into overlapping windows of a few words, without the punctuation
 around them; each window is compressed on either side, and the bytes that the toxic
-side saves are its distance.  Windows begin with a preamble of many byte values, which
+side saves are its distance (none, where it has no passage of the toxic dictionary).  Windows begin with a preamble of many byte values, which
 both dictionaries end with: it costs one match, and makes the parser price a literal
 at nearly the eight bits that it takes in so short a window.
 
@@ -51,12 +51,14 @@ TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 3000
 #: Characters of a text of the sample.
 LONGEST = 50_000
 #: Words of a window, and from one window's start to the next.
-WINDOW, STEP = 6, 5
+WINDOW, STEP = 4, 2
 CONTRAST, LEAST_CONTEXTS = 12.0, 6
 #: Bytes of either dictionary at most.
 ORDINARY_BYTES, TOXIC_BYTES = 30_000, 8_192
 #: Shares of ordinary windows that a threshold lets pass.
 ALARM_RATES = (0.03, 0.01, 0.003, 0.001, 0.0003)
+#: Bytes of the shortest match: a blank, a word of four, a blank.
+MATCH = 6
 PREAMBLE = bytes(range(160, 256))
 EDGE = ".,!?;:|*#$%&\"'()[]"
 
@@ -137,25 +139,49 @@ def toxic_dictionary(toxic: Sequence[str], ordinary: Sequence[str]) -> bytes:
 
 @lru_cache(maxsize=4)
 def compressor(content: bytes):
-    """An optimal parser, as a greedy one makes other choices when something is added that it does not use; matches of six bytes (a blank, a word of four, a blank) and more."""
+    """An optimal parser, as a greedy one makes other choices when something is added that it does not use."""
     import zstandard as z
 
-    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, chain_log=18, search_log=4, target_length=32, min_match=6, strategy=z.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
+    parameters = z.ZstdCompressionParameters.from_level(1, window_log=17, hash_log=18, chain_log=18, search_log=4, target_length=32, min_match=MATCH, strategy=z.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0, format=z.FORMAT_ZSTD1_MAGICLESS)
     held = z.ZstdCompressionDict(content + PREAMBLE, dict_type=z.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=parameters)
     return z.ZstdCompressor(dict_data=held, compression_params=parameters)
 
 
+@lru_cache(maxsize=2)
+def passages(content: bytes):
+    """Finds every passage of ``MATCH`` bytes that the dictionary holds."""
+    import ahocorasick
+
+    found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    text = content.decode("latin-1")
+    for k in range(len(text) - MATCH + 1):
+        found.add_word(text[k : k + MATCH])
+    found.make_automaton()
+    return found
+
+
 def windows(text: str | None) -> list[bytes]:
     words = [w.encode("utf-8", "replace") for w in _words(text or "")]
     return [b" " + b" ".join(words[k : k + WINDOW]) + b" " for k in range(0, max(1, len(words) - WINDOW + STEP), STEP)] if words else []
 
 
 def savings(text: str | None, ordinary: bytes, toxic: bytes) -> np.ndarray:
-    """Bytes that the toxic dictionary saves beside the ordinary one, for each window of the whole text."""
-    plain, other = compressor(ordinary).compress, compressor(toxic + ordinary).compress
-    found = [PREAMBLE + w for w in windows(text)]
-    return np.fromiter((len(plain(w)) - len(other(w)) for w in found), np.int64, len(found))
+    """Bytes that the toxic dictionary saves beside the ordinary one, for each window of the whole text.
+
+    A window that shares no passage of ``MATCH`` bytes with the toxic dictionary has no
+    match there, so it comes out the same on both sides and saves nothing; only the
+    others are compressed.
+    """
+    found = windows(text)
+    out = np.zeros(len(found), np.int64)
+    if len(toxic) < MATCH:
+        return out
+    plain, other, known = compressor(ordinary).compress, compressor(toxic + ordinary).compress, passages(toxic)
+    for k, window in enumerate(found):
+        if next(known.iter(window.decode("latin-1")), None) is not None:
+            out[k] = len(plain(PREAMBLE + window)) - len(other(PREAMBLE + window))
+    return out
 
 
 def thresholds(ordinary: np.ndarray) -> list[int]:
