@@ -36,6 +36,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(documents(spark, sf_dir))
 
 
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the licence scan that SQL can say as well."""
+    return op3_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", F.col("first_word").cast("double"), F.col("last_word").cast("double"), "base_labels")
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anisotropic.nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -71,10 +76,25 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_license_scan, op4_nearest, op5_katz, op6_quality, op7_simhash, op8_sentencepiece, op9_language, op10_maxscore, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_license_scan, op4_nearest, op5_katz, op6_quality, op7_simhash, op8_sentencepiece, op9_language, op10_maxscore, license_base, pipeline)}
 
 #: The others are trained, iterate to a fixed point, or use a hash or library that SQL lacks.
 ORACLE_SQL = {
+    "license_base": r"""
+        WITH cut AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM documents),
+        placed AS (
+          SELECT doc_id, len(w) AS n,
+            list_filter(range(len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
+            list_filter(range(len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+            list_filter(range(len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl
+          FROM cut)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(mit) + len(apache) + len(gpl) AS BIGINT) AS n_base,
+          CAST(list_min(mit || apache || gpl) AS DOUBLE) AS first_word, CAST(list_max(mit || apache || gpl) AS DOUBLE) AS last_word,
+          concat_ws(',', CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END) AS base_labels
+        FROM placed
+    """,
     "op10_maxscore": """
         WITH whole AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
