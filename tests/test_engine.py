@@ -180,3 +180,9 @@ def test_a_producer_may_look_at_its_messages_first(spark, day):
     run, corrupt = day
     rows = simulator.message_frame(spark, run, corrupt)
     assert files.refused(rows).count() == len(corrupt) == 12 and files.refused(simulator.message_frame(spark, run, [])).count() == 0
+
+
+def test_a_topic_is_made_once_and_streams_from_the_start(spark, tmp_path):
+    where = str(tmp_path / "topic")
+    assert files.provision(spark, path=where) and not files.provision(spark, path=where)
+    assert files.stream(spark, path=where).isStreaming

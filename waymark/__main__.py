@@ -43,6 +43,7 @@ class App:
 
     def init_db(self) -> int:
         self.warehouse.init()
+        files.provision(self.spark, path=self.messages, partitions=self.settings.partitions)
         return 0
 
     def seed(self) -> int:

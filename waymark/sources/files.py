@@ -16,6 +16,31 @@ def kafka_options(servers: str, topic: str, batch_size: int) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "maxOffsetsPerTrigger": str(batch_size)}
 
 
+def provision(spark: SparkSession, *, path: str | None = None, servers: str | None = None, topic: str = "vehicle.telemetry", partitions: int = 12, replication: int = 1) -> bool:
+    """Make the topic, or the folder that stands in for it, if it is not there; whether it was made.
+
+    A topic that is there keeps its partitions, as keys would otherwise move.
+    """
+    jvm = spark._jvm
+    if servers:
+        properties = jvm.java.util.Properties()
+        properties.setProperty("bootstrap.servers", servers)
+        admin = jvm.org.apache.kafka.clients.admin.AdminClient.create(properties)  # of the connector's own client library
+        try:
+            if admin.listTopics().names().get().contains(topic):
+                return False
+            admin.createTopics(jvm.java.util.Collections.singleton(jvm.org.apache.kafka.clients.admin.NewTopic(topic, partitions, replication))).all().get()
+            return True
+        finally:
+            admin.close()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return _file_system(spark, where).mkdirs(where) if not _file_system(spark, where).exists(where) else False
+
+
+def _file_system(spark: SparkSession, where):
+    return where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def stream(spark: SparkSession, *, path: str | None = None, files_per_trigger: int = 1, servers: str | None = None, topic: str = "vehicle.telemetry", batch_size: int = 500) -> DataFrame:
     """MESSAGES as a stream: of a topic if ``servers`` is given, else of Parquet files under ``path``."""
     if servers:
