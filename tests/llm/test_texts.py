@@ -62,6 +62,18 @@ def test_normaliser_takes_the_longest_key_and_keeps_spans():
     assert out == mark + b"yz" + b"x" + mark + b"d" and starts.tolist() == [2, 2, 2, 2, 2, 4, 6, 6, 6, 8, 9]
 
 
+def test_models_that_are_not_supported_are_refused():
+    pytest.importorskip("public_tokenizers")
+    from sentencepiece import sentencepiece_model_pb2
+
+    for change in (lambda m: setattr(m.trainer_spec, "treat_whitespace_as_suffix", True), lambda m: setattr(m.pieces[300], "type", 4)):
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(sentencepiece_model())
+        change(proto)
+        with pytest.raises(ValueError, match="not encoded here"):
+            sentencepieces.Encoder(proto.SerializeToString())
+
+
 def test_digests_in_spark(spark, docs, encoder):
     out = {r.doc_id: r for r in sentencepieces.digests(docs(ODD), sentencepiece_model()).collect()}
     assert out[0].n_tokens == out[1].n_tokens == 2 and all(r.tiled for r in out.values()) and out[4].ids_sha256 == out[5].ids_sha256

@@ -9,7 +9,8 @@ piece it returns is projected through the alignment to a span of original UTF-8
 bytes.  Decoding is the library's.
 
 Null texts count as empty.  Whole texts are encoded, however long, one at a
-time.  Repeated rows come out as often as they went in, an empty table gives an
+time.  Models with user-defined symbols, which the library does not normalise, or with
+white space as a suffix are refused.  Repeated rows come out as often as they went in, an empty table gives an
 empty result, and columns that are not asked for are not read.
 """
 
@@ -137,6 +138,8 @@ class Encoder:
 
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(model)
+        if proto.trainer_spec.treat_whitespace_as_suffix or any(p.type == 4 for p in proto.pieces):
+            raise ValueError("models with symbols that are never normalised, or with white space as a suffix, are not encoded here")
         self.normalise = Normaliser(proto.normalizer_spec)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         spec = proto.normalizer_spec
