@@ -215,17 +215,21 @@ def agg_daily_fleet(ctx: Context) -> DataFrame:
 @model("marts")
 def agg_zone_activity(ctx: Context) -> DataFrame:
     """One row per day with visits or breaches and zone, zeros for quiet zones.  The breach rate counts breaches still open."""
-    alerts = ctx.ref("fct_alerts").where("zone_id IS NOT NULL")
-    keys = [F.col("started_date").alias("activity_date"), F.col("zone_id")]
-    closed = ~F.col("is_open")
+    alerts = ctx.ref("fct_alerts").where("zone_id IS NOT NULL AND detection_type IN ('zone_visit', 'geofence_breach')")
+    visit, breach = F.col("detection_type") == "zone_visit", F.col("detection_type") == "geofence_breach"
+    closed = visit & ~F.col("is_open")
     stay = F.when(closed, F.col("duration_seconds"))
-    v = alerts.where("detection_type = 'zone_visit'").groupBy(*keys).agg(F.count(COUNT).alias("visits"), count_where(closed).alias("closed_visits"), F.count_distinct("vehicle_id").alias("vehicles"), F.sum(stay).alias("dwell_seconds"), F.max(stay).alias("longest"))
-    b = alerts.where("detection_type = 'geofence_breach'").groupBy(*keys).agg(F.count(COUNT).alias("breaches"), count_where(F.col("reason") == "entered_restricted_zone").alias("entry_breaches"), count_where(F.col("reason") == "dwell_limit_exceeded").alias("dwell_breaches"), F.max("magnitude").alias("worst_dwell_minutes"))
-    days = v.select("activity_date").union(b.select("activity_date")).distinct()
+    of_reason = lambda reason: count_where(breach & (F.col("reason") == reason))
+    measures = {
+        "visits": count_where(visit), "closed_visits": count_where(closed), "vehicles": F.count_distinct(F.when(visit, F.col("vehicle_id"))), "dwell_seconds": F.sum(stay), "longest": F.max(stay),
+        "breaches": count_where(breach), "entry_breaches": of_reason("entered_restricted_zone"), "dwell_breaches": of_reason("dwell_limit_exceeded"), "worst_dwell_minutes": F.max(F.when(breach, F.col("magnitude"))),
+    }
+    found = alerts.groupBy(F.col("started_date").alias("activity_date"), "zone_id").agg(*[m.alias(n) for n, m in measures.items()])
+    # A day's zones in one map, no longer than the catalogue of zones, so that alerts are gone through once.
+    days = found.groupBy("activity_date").agg(F.map_from_entries(F.collect_list(F.struct("zone_id", F.struct(*measures)))).alias("by_zone"))
     z = ctx.ref("dim_zone").select("zone_id", F.col("name").alias("zone_name"), "zone_kind", "max_dwell_minutes", "area_km2", "centre_lat", "centre_lon")
     # Days times zones is the result's own size: every zone is written for every day.
-    grid = days.crossJoin(z)
-    j = grid.join(v, ["activity_date", "zone_id"], "left").join(b, ["activity_date", "zone_id"], "left")
+    j = days.crossJoin(z).withColumn("of_zone", F.try_element_at("by_zone", F.col("zone_id"))).select("*", "of_zone.*")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return j.select(
         "activity_date", "zone_id", "zone_name", "zone_kind", "max_dwell_minutes", "area_km2", "centre_lat", "centre_lon", zero("visits"), zero("closed_visits"), zero("vehicles"), zero("dwell_seconds"),
